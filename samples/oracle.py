@@ -96,11 +96,11 @@ def search_ctes(
         ctes.append(f"{p}h{n} AS MATERIALIZED ({found})")
         rows = f"{p}h{n}"
         if harvest_first:
-            # numeric order of the first part of the business key
+            # by the parts of the business key, as numbers
+            order = ", ".join(f"TRY_CAST(split_part(row_key, '/', {i}) AS DOUBLE)" for i in range(1, 6))
             rows = (
                 f"(SELECT * FROM {p}h{n} QUALIFY row_number() OVER (PARTITION BY subject, table_name, "
-                "matched_column, matched_value ORDER BY "
-                "list_transform(string_split(row_key, '/'), x -> CAST(x AS DOUBLE))) = 1)"
+                f"matched_column, matched_value ORDER BY {order}) = 1)"
             )
         new = (
             f"SELECT DISTINCT h.subject, c.col, c.val FROM {rows} h JOIN cells c "

@@ -654,7 +654,7 @@ def _month_table(spark, sf_dir) -> LakeTable:
     path = new_folder(spark, "orders")
     orders = lake.orders_pii(spark, sf_dir).drop("partition_2")
     orders.hint("rebalance", *MONTHS).write.partitionBy(*MONTHS).parquet(path)
-    return LakeTable(ORDERS, path, MONTHS)
+    return LakeTable(ORDERS, path, MONTHS, schema=spark.read.parquet(path).schema)
 
 
 def _rewritten(
