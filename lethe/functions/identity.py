@@ -33,7 +33,11 @@ def row_json(columns: Sequence[str]) -> Column:
 
 def row_id(columns: Sequence[str]) -> Column:
     """SHA-256 of the row's JSON text. Identical copies of a row share an id."""
-    return F.sha2(row_json(columns), 256)
+    return id_of_json(row_json(columns))
+
+
+def id_of_json(text: Column) -> Column:
+    return F.sha2(text, 256)
 
 
 def as_text(column: str) -> Column:

@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from lethe.functions.identity import (
     as_text,
     equals_text,
+    id_of_json,
     partition_text,
     quoted,
-    row_id,
     row_json,
     sort_key,
 )
@@ -87,13 +87,26 @@ def remaining_tables(wanted: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def key_pairs(columns: Sequence[str]) -> Column:
-    """A row's key columns as ``(column, value)`` pairs, without nulls."""
+    """A row's key columns as ``(column, value)`` pairs; a missing value stays null.
+
+    Nulls match nothing and are not harvested, so they need no filter per row here.
+    """
     if not columns:
         return F.array().cast(T.ArrayType(PAIR))
-    pairs = F.array(
+    return F.array(
         *[F.struct(F.lit(c).alias("column"), as_text(c).alias("value")) for c in columns]
     )
-    return F.filter(pairs, lambda pair: pair["value"].isNotNull())
+
+
+def narrow_probes(df: DataFrame, probes: DataFrame, probe_columns: Sequence[str]) -> DataFrame:
+    """The search values that occur in a table at all, from a scan of its key columns only.
+
+    For search values too many to broadcast: most of them are usually not in the table, and
+    the rest may be few enough to spare the shuffle of its whole rows.
+    """
+    names = [F.col(quoted(c)) for c in probe_columns]
+    found = df.select(*names).select(F.inline(key_pairs(probe_columns))).distinct()
+    return probes.join(found, ["column", "value"], "left_semi").select(*PROBE_SCHEMA.fieldNames())
 
 
 def probe(
@@ -131,20 +144,24 @@ def probe(
         "column AS __column", "value AS __value", "subject AS __subject"
     )
     matched = lookup_join(rows, values, ["__column", "__value"], "inner", limits, size)
+    if size.rows > limits.literal_pairs:
+        # a few splits or one shared value can hold most matches: even them out, and write
+        # well-sized files, before the costly part; only matched rows are shuffled
+        matched = matched.hint("rebalance")
     keys = [c for c in key_columns if c in df.columns]
     order = sort_key(df.schema, order_columns) if order_columns else F.lit(None).cast(SORT_KEY)
-    return matched.select(
+    found = matched.select(
         F.col("__subject").alias("subject"),
         F.lit(source).alias("source"),
         F.lit(name).alias("table_name"),
         F.col("__column").alias("matched_column"),
         F.col("__value").alias("matched_value"),
-        row_id(df.columns).alias("row_id"),
         partition_text(partition_columns).alias("partition"),
         row_json(df.columns).alias("row_json"),
         key_pairs(keys).alias("keys"),
         order.alias("order_key"),
     )
+    return found.select("*", id_of_json(F.col("row_json")).alias("row_id"))
 
 
 def harvest(hits: DataFrame, mode: str = "all") -> DataFrame:
@@ -164,7 +181,7 @@ def harvest(hits: DataFrame, mode: str = "all") -> DataFrame:
         raise ValueError("mode is 'all' or 'first'")
     return (
         rows.select("subject", "matched_column", F.explode("keys").alias("key"))
-        .where("key.column <> matched_column")
+        .where("key.column <> matched_column AND key.value IS NOT NULL")
         .select("subject", F.col("key.column").alias("column"), F.col("key.value").alias("value"))
         .distinct()
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lethe.operators import classify as C
 from lethe.operators import linkage as L
-from lethe.operators.lookup import Size, lookup_join, value_bytes
+from lethe.operators.lookup import Size, lookup_join, measure, value_bytes
 from lethe.scratch import local_table, new_folder, remove, write_table
 from lethe.settings import LAKE, Limits, Settings
 
@@ -146,22 +146,26 @@ def search(
             break
         number += 1
         all_probes.append(probes.frame)
-        scans = {
-            t: L.probe(
+        scans = {}
+        for t in open_now:
+            values, size = probes.frame.where(F.col("table_name") == t), probes.sizes[t]
+            if not size.fits(limits):
+                narrowed = L.narrow_probes(opened[t], values, by_table[t])
+                values = write_table(narrowed, f"{folder}/narrowed/pass={number}/{t}")
+                size = measure(values)
+            scans[t] = L.probe(
                 opened[t],
                 t,
                 source,
-                probes.frame.where(F.col("table_name") == t),
+                values,
                 by_table[t],
                 key_columns,
-                probes.sizes[t],
+                size,
                 limits,
                 probes.literals.get(t),
                 [c for c in opened[t].columns if c in partition_columns],
                 order_columns.get(t),
             )
-            for t in open_now
-        }
         hits, n_hits = _write_hits(spark, scans, number, f"{folder}/hits/pass={number}", errors, limits)
         if first_match and number > 1:
             pair = ["subject", "table_name", "matched_column", "matched_value"]
