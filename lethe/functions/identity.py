@@ -28,7 +28,7 @@ def quoted(column: str) -> str:
 
 def row_json(columns: Sequence[str]) -> Column:
     """The whole row as one JSON text."""
-    return F.to_json(F.struct(*[quoted(c) for c in columns]), JSON_OPTIONS)
+    return F.to_json(F.expr(f"struct({', '.join(map(quoted, columns))})"), JSON_OPTIONS)
 
 
 def row_id(columns: Sequence[str]) -> Column:
@@ -53,6 +53,16 @@ def _canonical_integer(text: str, bits: int) -> int | None:
     return number if -(1 << (bits - 1)) <= number < (1 << (bits - 1)) else None
 
 
+def _is_text(column: str, values: Sequence[str]) -> Column:
+    """``column IN (...)``, built as one expression text unless a value needs escaping."""
+    plain = [v for v in values if "'" not in v and "\\" not in v]
+    if not plain:
+        return F.col(quoted(column)).isin(list(values))
+    found = F.expr(f"{quoted(column)} IN ({', '.join(f"'{v}'" for v in plain)})")
+    other = [v for v in values if "'" in v or "\\" in v]
+    return found | F.col(quoted(column)).isin(other) if other else found
+
+
 def equals_text(schema: T.StructType, column: str, values: Iterable[str]) -> Column:
     """``column``, taken as text, is one of ``values``.
 
@@ -63,7 +73,7 @@ def equals_text(schema: T.StructType, column: str, values: Iterable[str]) -> Col
     dtype = schema[column].dataType
     col = F.col(quoted(column))
     if isinstance(dtype, T.StringType):
-        return col.isin(list(values))
+        return _is_text(column, list(values))
     bits = _INTEGRAL_BITS.get(type(dtype))
     if bits is None:
         return col.cast("string").isin(list(values))

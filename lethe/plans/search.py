@@ -120,7 +120,7 @@ def search(
     )
 
     folder = new_folder(spark, "search")
-    subjects, subject_size = _write_subjects(subjects, f"{folder}/subjects")
+    subjects, subject_size = _fix_subjects(subjects, f"{folder}/subjects", limits)
     # a subject closes each table at most once, so this bounds that side of the join
     n_tables = max(len(opened), 1)
     longest = max(map(len, opened), default=0)
@@ -131,7 +131,10 @@ def search(
     all_hits: list[DataFrame] = []
     all_probes: list[DataFrame] = []
     frontier = L.frontier_seed(subjects, link) if link else None
-    bound = subject_size.rows * len(link) * n_tables
+    # how many search values one hit can lead to: keys of a row, times the tables with that column
+    spread = max((sum(c in f for f in by_table.values()) for c in probe_columns), default=0)
+    fan = spread * max(map(len, by_table.values()), default=0)
+    bound = subject_size.rows * len(link) * spread
     number = 0
     while frontier is not None and (max_passes is None or number < max_passes):
         routed = L.route(frontier, table_columns)
@@ -172,7 +175,7 @@ def search(
             hits = lookup_join(hits, L.first_pairs(hits), pair, "left_semi", limits)
         all_hits.append(hits)
         frontier = L.harvest(hits, harvest) if n_hits else None
-        bound = n_hits * len(key_columns) * n_tables
+        bound = n_hits * fan
 
     return SearchResult(
         spark,
@@ -195,18 +198,15 @@ def _names(columns: DataFrame, settings: Settings) -> dict[str, list[str]]:
     return {kind: sorted(found) for kind, found in names.items()}
 
 
-def _write_subjects(subjects: DataFrame, path: str) -> tuple[DataFrame, Size]:
-    counted = Observation()
+def _fix_subjects(subjects: DataFrame, path: str, limits: Limits) -> tuple[DataFrame, Size]:
+    """Each subject once: on the driver if they are few, else in the shared folder."""
     wanted = subjects.select("subject").distinct()
-    kept = write_table(
-        wanted.observe(
-            counted,
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(value_bytes(["subject"])), F.lit(0)).alias("bytes"),
-        ),
-        path,
-    )
-    return kept, Size(counted.get["rows"], counted.get["bytes"])
+    some = wanted.limit(limits.driver_rows + 1).collect()
+    if len(some) <= limits.driver_rows:
+        size = Size(len(some), sum(64 + 4 * len(r["subject"] or "") for r in some))
+        return local_table(subjects.sparkSession, some, "subject"), size
+    kept = write_table(wanted, path)
+    return kept, measure(kept)
 
 
 @dataclass(frozen=True)

@@ -44,11 +44,17 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def local_table(spark: SparkSession, rows: Sequence[Sequence[str]], names: str) -> DataFrame:
-    """A few rows of text held in the plan itself, of a size Spark therefore knows."""
-    fields = [pa.field(n.strip(), pa.string()) for n in names.split(",")]
+def local_table(spark: SparkSession, rows: Sequence[Sequence], names: str) -> DataFrame:
+    """A few rows held in the plan itself, of a size Spark therefore knows.
+
+    ``names`` lists the columns; they are text unless marked ``name:bool``.
+    """
+    fields = []
+    for item in names.split(","):
+        name, _, kind = item.strip().partition(":")
+        fields.append(pa.field(name, pa.bool_() if kind == "bool" else pa.string()))
     columns = list(zip(*rows)) if rows else [[] for _ in fields]
-    arrays = [pa.array(c, pa.string()) for c in columns]
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=pa.schema(fields)))
 
 

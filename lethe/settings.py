@@ -62,7 +62,7 @@ class Limits:
     ``tables_per_job``: how many table probes share one Spark job.
     """
 
-    driver_rows: int = 10_000
+    driver_rows: int = 20_000
     literal_pairs: int = 1_000
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 1_000_000

@@ -10,11 +10,13 @@ from collections.abc import Collection, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lethe.scratch import local_table
 from lethe.settings import LAKE, WAREHOUSE
 
 CATALOG_SCHEMA = (
     "source string, db string, table string, column string, type string, is_partition boolean"
 )
+_COLUMNS = "source, db, table, column, type, is_partition:bool"
 
 
 def lake_databases(spark: SparkSession) -> list[str]:
@@ -32,7 +34,7 @@ def catalog_columns(
                 continue
             for c in spark.catalog.listColumns(f"`{db}`.`{table.name}`"):
                 rows.append((source, db, table.name, c.name, c.dataType, c.isPartition))
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return local_table(spark, rows, _COLUMNS)
 
 
 def columns_of(
@@ -48,7 +50,7 @@ def columns_of(
         for f in df.schema.fields:
             is_partition = f.name in partition_columns
             rows.append((source, db, table, f.name, f.dataType.simpleString(), is_partition))
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return local_table(spark, rows, _COLUMNS)
 
 
 def warehouse_columns(metadata: DataFrame, source: str = WAREHOUSE) -> DataFrame:

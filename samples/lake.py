@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lethe.settings import LAKE, WAREHOUSE
 from lethe.sources.catalog import columns_of
@@ -12,8 +13,15 @@ PARTITIONS = ("partition_0", "partition_1", "partition_2")
 REQUESTS = ("user1@example.com", "user7@example.com", "user42@example.com", "nobody@example.com")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table. Its schema is looked up once, as from a catalog."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def address(key: str) -> Column:
