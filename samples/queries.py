@@ -8,21 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lethe.functions import hashing, text
-from lethe.functions.identity import JSON_OPTIONS
 from lethe.operators import audit, classify, erase, linkage, masking, review
-from lethe.operators.lookup import lookup_join
-from lethe.plans.rewrite import Change, Places, Run, backups_of, purge, read_manifest, without_backups
+from lethe.plans.rewrite import Change, Places, Run, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
 from lethe.plans.workflow import erase_reviewed
 from lethe.scratch import new_folder
-from lethe.settings import LAKE, WAREHOUSE, Limits, Settings
+from lethe.settings import LAKE, WAREHOUSE, Settings
 from lethe.sources import catalog, requests
-from lethe.sources.tables import (
-    LakeTable,
-    affected_files,
-    in_partitions,
-    scan_catalog_table,
-)
+from lethe.sources import tables as scans
+from lethe.sources.tables import LakeTable, in_partitions, scan_catalog_table
 from samples import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,14 +385,10 @@ def row_to_json(spark, sf_dir):
 @query
 def affected_files(spark, sf_dir):
     scan = lake.load(spark, sf_dir, "lineitem")
-    found = affected_files_of(scan)
+    found = scans.affected_files(scan, F.col("l_suppkey") == 7)
     return found.select(text.path_file(F.col("file_path")).alias("file_name"), "n_rows")
 
 
-def affected_files_of(scan: DataFrame) -> DataFrame:
-    return affected_files(scan, F.col("l_suppkey") == 7)
-
-
 # -- report ------------------------------------------------------------------------------
 
 
