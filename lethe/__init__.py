@@ -1,8 +1,8 @@
 """Find, review and erase a person's rows in large tables, with Spark DataFrames."""
 
 from lethe.operators.classify import Classification, classify
-from lethe.operators.erase import erase
-from lethe.operators.masking import mask, update_by_row_match, update_script
+from lethe.operators.erase import erase, update_by_row_match
+from lethe.operators.masking import mask, update_script
 from lethe.operators.review import apply_decisions, report
 from lethe.plans.rewrite import Change, CheckFailed, Places, Run, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits

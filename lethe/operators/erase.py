@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lethe.functions.identity import quoted, row_id
 from lethe.operators.lookup import lookup_join, measure
-from lethe.operators.masking import mask
+from lethe.operators.masking import mask, match_columns
 from lethe.settings import Limits
 
 ROW_ID = "row_id"
@@ -28,6 +28,16 @@ def tag_flagged(df: DataFrame, flagged: DataFrame, limits: Limits = Limits()) ->
     return tagged.select(*names, F.col(_FLAG).isNotNull().alias(_FLAG))
 
 
+def tag_equal(
+    df: DataFrame, flagged: DataFrame, match: Sequence[str], limits: Limits = Limits()
+) -> DataFrame:
+    """The same for rows that equal a flagged row in the match columns; nulls are equal."""
+    keys = flagged.select(*[quoted(c) for c in match]).distinct().withColumn(_FLAG, F.lit(True))
+    tagged = lookup_join(df, keys, match, "left", limits, null_safe=True)
+    names = [quoted(c) for c in df.columns]
+    return tagged.select(*names, F.col(_FLAG).isNotNull().alias(_FLAG))
+
+
 def untag(df: DataFrame) -> DataFrame:
     return df.drop(_FLAG)
 
@@ -116,6 +126,20 @@ def erase(
     return kept.unionByName(masked)
 
 
+def update_by_row_match(
+    df: DataFrame,
+    flagged: DataFrame,
+    columns: Iterable[str],
+    match: Sequence[str] | None = None,
+    mode: str = "column_token",
+    salt: str = "",
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """Mask the rows that equal a flagged row in all match columns (by default all but times)."""
+    match = list(match) if match is not None else match_columns(df.schema)
+    return untag(mask(tag_equal(df, flagged, match, limits), columns, mode, salt, where=is_flagged()))
+
+
 def swap_check(old: DataFrame, new: DataFrame, masked: DataFrame) -> DataFrame:
     """One row: are the rows that ``new`` has beyond ``old`` just the masked rows?
 

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lethe.functions.hashing import column_token, value_token
-from lethe.functions.identity import quoted
+from lethe.functions.identity import has_map, quoted
 from lethe.functions.text import sql_quote
-from lethe.operators.lookup import lookup_join
-from lethe.settings import CONTROL_COLUMNS, Limits
+from lethe.settings import CONTROL_COLUMNS
 
 TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
-_FLAG = "__flagged"
 
 
 def masked_value(
@@ -80,26 +78,7 @@ def match_columns(
         kept = [f for f in schema.fields if name_contains not in f.name]
     else:
         kept = [f for f in schema.fields if not isinstance(f.dataType, TIME_TYPES)]
-    return [f.name for f in kept if f.name not in skipped and not isinstance(f.dataType, T.MapType)]
-
-
-def update_by_row_match(
-    df: DataFrame,
-    flagged: DataFrame,
-    columns: Iterable[str],
-    match: Sequence[str] | None = None,
-    mode: str = "column_token",
-    salt: str = "",
-    limits: Limits = Limits(),
-) -> DataFrame:
-    """Mask the rows that equal a flagged row in all match columns (nulls are equal)."""
-    match = list(match) if match is not None else match_columns(df.schema)
-    keys = flagged.select(*[quoted(c) for c in match]).distinct().withColumn(_FLAG, F.lit(True))
-    joined = lookup_join(df, keys, match, "left", limits, null_safe=True)
-    hit = F.col(_FLAG).isNotNull()
-    return mask(joined, set(columns) - {_FLAG}, mode, salt, where=hit).select(
-        *[quoted(c) for c in df.columns]
-    )
+    return [f.name for f in kept if f.name not in skipped and not has_map(f.dataType)]
 
 
 def _literal(field: T.StructField) -> Column:

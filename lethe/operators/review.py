@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lethe.functions.identity import quoted, row_json
+from lethe.functions.identity import JSON_OPTIONS, quoted, row_json
 from lethe.functions.text import date_partition
 from lethe.settings import (
     FLAG_COLUMN,
@@ -48,17 +48,16 @@ def _is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
+def typed_rows(hits: DataFrame, schema: T.StructType) -> DataFrame:
+    """``hits`` with a column ``row``: the found row in its table's own types."""
+    formats = {k: v for k, v in JSON_OPTIONS.items() if k.endswith("Format")}
+    return hits.withColumn("row", F.from_json("row_json", schema, formats))
+
+
 def read_rows(hits: DataFrame, table_name: str, schema: T.StructType) -> DataFrame:
     """Hits of one table as typed rows again: ``subject, row_id`` and the table's columns."""
-    options = {
-        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    }
-    return (
-        hits.where(F.col("table_name") == table_name)
-        .select("subject", "row_id", F.from_json("row_json", schema, options).alias("row"))
-        .select("subject", "row_id", "row.*")
-    )
+    own = typed_rows(hits.where(F.col("table_name") == table_name), schema)
+    return own.select("subject", "row_id", "row.*")
 
 
 def report(hits: DataFrame) -> DataFrame:

@@ -511,6 +511,7 @@ ORACLE: dict[str, str] = {
         "' AND mktsegment = ''' || mktsegment || ''';' AS statement FROM customer_pii"
     ),
     "erase_partition_rewrite": _search(_MASKED_ORDERS, passes=2),
+    "update_rewrite": _search(_MASKED_ORDERS, passes=2),
     "erase_partition_delete": _search(
         f"SELECT 'gone' AS what, count(*) AS n_rows FROM orders_pii WHERE CAST(orderkey AS VARCHAR) "
         f"IN ({_FLAGGED}) UNION ALL SELECT 'left', count(*) FROM orders_pii "

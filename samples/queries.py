@@ -607,7 +607,7 @@ def update_by_row_match(spark, sf_dir):
     orders = lake.orders_pii(spark, sf_dir)
     flagged = orders.where(F.col("orderstatus") == "F")
     return _order_columns(
-        masking.update_by_row_match(orders, flagged, ["orderpriority", "custkey"])
+        erase.update_by_row_match(orders, flagged, ["orderpriority", "custkey"])
     )
 
 
@@ -684,6 +684,14 @@ def erase_partition_delete(spark, sf_dir):
     return gone.unionByName(left)
 
 
+@query
+def update_rewrite(spark, sf_dir):
+    """The row-match update on storage: rows equal to a found one but for the time."""
+    columns = ("orderstatus", "orderpriority", "totalprice")
+    stored, _, _ = _rewritten(spark, sf_dir, Change("mask", columns, match="columns"))
+    return _order_columns(stored.read(spark))
+
+
 @query
 def audit_rewrite(spark, sf_dir):
     _, _, run = _rewritten(spark, sf_dir, Change("mask", MASKED))

@@ -155,6 +155,18 @@ def test_table_without_partitions(spark, tmp_path, place, action, left):
     assert len(rows) == left and "a@x.de" not in {r[0] for r in rows}
 
 
+def test_row_match_ignores_points_in_time(spark, tmp_path, place):
+    path = str(tmp_path / "timed")
+    spark.sql(
+        "SELECT * FROM VALUES ('a', 1, timestamp'2024-01-01'), ('a', 1, timestamp'2024-01-02'), "
+        "('a', NULL, timestamp'2024-01-01'), ('b', 1, timestamp'2024-01-01') AS t(email, k, ts)"
+    ).write.parquet(path)
+    table = LakeTable("s_pii.timed_pii", path)
+    rows = flagged(spark, table, "email = 'a' AND k = 1 AND day(ts) = 1")
+    Run(spark, table, place, "r1", Change("mask", ("email",), match="columns")).run(rows)
+    assert sorted(r[0] for r in content(spark, table)) == sorted([TOKEN, TOKEN, "a", "b"])
+
+
 def test_nothing_flagged_changes_nothing(spark, table, place):
     files = data_files(table.path)
     audit = Run(spark, table, place, "r1", Change("delete")).run(flagged(spark, table, "false"))

@@ -32,7 +32,7 @@ def test_request_and_settings_lines(spark, tmp_path):
     assert found["rest_all_pii_columns"] == ["name"]
 
 
-def test_catalog_tables(spark):
+def test_catalog_tables(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS crm_pii")
     spark.sql("DROP TABLE IF EXISTS crm_pii.people_pii")
     spark.sql("CREATE TABLE crm_pii.people_pii (email STRING, user_id INT, y STRING) USING parquet PARTITIONED BY (y)")
@@ -44,6 +44,8 @@ def test_catalog_tables(spark):
     assert {r["column"] for r in found.mask_columns.collect()} == {"user_id", "email"}
     names = {(r["kind"], r["name"]) for r in search_names(columns, Settings()).collect()}
     assert names == {("table", "crm_pii.people_pii"), ("link", "email"), ("key", "user_id")}
+    found.write(str(tmp_path / "lists"))
+    assert spark.read.json(str(tmp_path / "lists" / "candidate_keys")).first()["column"] == "user_id"
     assert scan_catalog_table(spark, "crm_pii.people_pii")[1] == ["email", "user_id", "y"]
 
 
