@@ -10,7 +10,12 @@ from lethe.plans.workflow import erase_reviewed
 from lethe.settings import LAKE, WAREHOUSE, Limits, Settings
 from lethe.sources.catalog import catalog_columns, columns_of, warehouse_columns
 from lethe.sources.requests import read_key_values, subjects_from
-from lethe.sources.tables import LakeTable, scan_catalog_table, scan_warehouse_table
+from lethe.sources.tables import (
+    LakeTable,
+    open_catalog_tables,
+    scan_catalog_table,
+    scan_warehouse_table,
+)
 
 __all__ = [
     "Change",
@@ -31,6 +36,7 @@ __all__ = [
     "erase",
     "erase_reviewed",
     "mask",
+    "open_catalog_tables",
     "purge",
     "read_key_values",
     "read_manifest",

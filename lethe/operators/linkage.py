@@ -78,7 +78,8 @@ def route(frontier: DataFrame, table_columns: DataFrame) -> DataFrame:
 
 def still_open(routed: DataFrame, closed: DataFrame, size: Size, limits: Limits) -> DataFrame:
     """Leave out tables already found for the subject. ``size`` bounds ``closed``."""
-    return lookup_join(routed, closed, ["subject", "table_name"], "left_anti", limits, size)
+    on = ["subject", "table_name"]
+    return lookup_join(routed, closed, on, "left_anti", limits, size, spread_by=routed.columns)
 
 
 def remaining_tables(wanted: DataFrame, found: DataFrame) -> DataFrame:

@@ -61,6 +61,7 @@ def lookup_join(
     limits: Limits,
     size: Size | None = None,
     null_safe: bool = False,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``lookup`` on equal columns.
 
@@ -69,8 +70,9 @@ def lookup_join(
     further columns. A lookup measured
     to be small is broadcast and ``big`` is not shuffled. A larger one is joined by shuffle;
     there, rows of ``big`` with one of the few very frequent keys are spread over several
-    tasks and the lookup rows of these keys are repeated for each. ``big`` should come from
-    files, so that a repeated task sees the rows in the same order.
+    tasks and the lookup rows of these keys are repeated for each. They are spread by their
+    place in the input, which suits rows scanned from files: a repeated task sees them in the same
+    order. Where ``big`` comes out of a shuffle, ``spread_by`` names columns to spread them by.
     """
     small = (size or measure(lookup)).fits(limits)
     if small and not null_safe:
@@ -81,7 +83,7 @@ def lookup_join(
         condition = _matches(on, keys, big, renamed, null_safe)
         joined = big.join(F.broadcast(renamed), condition, how)
     else:
-        joined = _salted_join(big, renamed, list(on), keys, how, limits, null_safe)
+        joined = _salted_join(big, renamed, list(on), keys, how, limits, null_safe, spread_by)
     if how in ("left_semi", "left_anti"):
         return joined.drop(_SALT)
     further = {_SIDE + c: c for c in lookup.columns if c not in on}
@@ -111,6 +113,7 @@ def _salted_join(
     how: str,
     limits: Limits,
     null_safe: bool,
+    spread_by: Sequence[str] | None,
 ) -> DataFrame:
     hot = hot_keys(big, on, limits).select(
         *[F.col(quoted(c)).alias("__h_" + c) for c in on], F.lit(True).alias(_HOT)
@@ -122,7 +125,8 @@ def _salted_join(
         condition = _matches(columns, hot_on, df, hot, null_safe)
         return df.join(F.broadcast(hot), condition, "left").drop(*hot_on)
 
-    spread = F.when(F.col(_HOT), F.pmod(F.monotonically_increasing_id(), F.lit(limits.salts)))
+    place = F.xxhash64(*map(quoted, spread_by)) if spread_by else F.monotonically_increasing_id()
+    spread = F.when(F.col(_HOT), F.pmod(place, F.lit(limits.salts)))
     big_salted = tagged(big, on).withColumn(
         _SALT, F.coalesce(spread, F.lit(0)).cast("int")
     ).drop(_HOT)

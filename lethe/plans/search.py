@@ -200,10 +200,10 @@ def _names(columns: DataFrame, settings: Settings) -> dict[str, list[str]]:
 
 def _fix_subjects(subjects: DataFrame, path: str, limits: Limits) -> tuple[DataFrame, Size]:
     """Each subject once: on the driver if they are few, else in the shared folder."""
-    wanted = subjects.select("subject").distinct()
+    wanted = subjects.select("subject").where("subject IS NOT NULL").distinct()
     some = wanted.limit(limits.driver_rows + 1).collect()
     if len(some) <= limits.driver_rows:
-        size = Size(len(some), sum(64 + 4 * len(r["subject"] or "") for r in some))
+        size = Size(len(some), sum(64 + 4 * len(r["subject"]) for r in some))
         return local_table(subjects.sparkSession, some, "subject"), size
     kept = write_table(wanted, path)
     return kept, measure(kept)

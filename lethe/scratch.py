@@ -74,3 +74,11 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Delete a folder; ``False`` when it was not there."""
     hadoop_path, fs = _hadoop_path(spark, path)
     return fs.delete(hadoop_path, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder; nothing if it is not there."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [status.getPath().toString() for status in fs.listStatus(hadoop_path)]

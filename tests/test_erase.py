@@ -144,11 +144,11 @@ def test_shuffled_join_equals_broadcast(spark, how):
         return sorted(rows, key=str)
 
     a = lookup_join(big, small, ["k"], how, Limits())
-    b = lookup_join(big, small, ["k"], how, SHUFFLED)
-    assert sorted(a.columns) == sorted(b.columns)
-    assert shown([tuple(r[c] for c in sorted(a.columns)) for r in a.collect()]) == shown(
-        [tuple(r[c] for c in sorted(b.columns)) for r in b.collect()]
-    )
+    expected = shown([tuple(r[c] for c in sorted(a.columns)) for r in a.collect()])
+    for spread_by in (None, ["id"]):
+        b = lookup_join(big, small, ["k"], how, SHUFFLED, spread_by=spread_by)
+        assert sorted(a.columns) == sorted(b.columns)
+        assert shown([tuple(r[c] for c in sorted(b.columns)) for r in b.collect()]) == expected
 
 
 def test_measured_size_decides(spark):

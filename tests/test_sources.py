@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lethe import Settings, catalog_columns, classify, read_key_values, scan_catalog_table, subjects_from
+from lethe import (
+    Settings, catalog_columns, classify, open_catalog_tables, read_key_values, scan_catalog_table, subjects_from,
+)
 from lethe.functions import text
 from lethe.operators.classify import search_names
 from lethe.sources.tables import LakeTable, affected_files, in_partitions
@@ -46,6 +48,7 @@ def test_catalog_tables(spark, tmp_path):
     assert names == {("table", "crm_pii.people_pii"), ("link", "email"), ("key", "user_id")}
     found.write(str(tmp_path / "lists"))
     assert spark.read.json(str(tmp_path / "lists" / "candidate_keys")).first()["column"] == "user_id"
+    assert set(open_catalog_tables(spark, ["crm_pii.people_pii", "crm_pii.absent"])) == {"crm_pii.people_pii"}
     assert scan_catalog_table(spark, "crm_pii.people_pii")[1] == ["email", "user_id", "y"]
 
 
