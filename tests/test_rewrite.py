@@ -145,6 +145,19 @@ def test_table_changed_meanwhile_is_not_swapped(spark, table, place, monkeypatch
     assert "n@x.de" in {r[0] for r in content(spark, table)}
 
 
+def test_row_changed_since_the_search_stops_the_run(spark, table, place):
+    rows = flagged(spark, table, "email = 'a@x.de'").distinct()
+    rows = rows.withColumn("copies", F.when(F.get_json_object("row_json", "$.m") == "02", 2).otherwise(1))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)  # as a search keeps them
+    Run(spark, table, place, "r1", Change("mask", ("note",))).run(rows)
+    stale = Run(spark, table, place, "r2", Change("mask", ("email",)))
+    with pytest.raises(CheckFailed):
+        stale.run(rows)
+    assert "a@x.de" in {r[0] for r in content(spark, table)}
+    Run(spark, table, place, "r2", Change("mask", ("email",)), allow_missing=True).run(rows)
+    assert stale.state() == "swapped"
+
+
 @pytest.mark.parametrize("action,left", [("mask", 2), ("delete", 1)])
 def test_table_without_partitions(spark, tmp_path, place, action, left):
     path = str(tmp_path / "flat")
