@@ -5,7 +5,7 @@ Two histograms are made of each text: of character classes, and of the language'
 all its documents that pass the base rules and the length guards, counted in whole millionths so
 that the order of summing does not matter. A document fails if the Jensen-Shannon distance
 (logarithm base 2, so 0 to 1) of either histogram to the reference exceeds its limit. Below the
-guards (``least_chars``, ``least_words``), or without a reference for the language (fewer than
+guards (``least_chars``, ``least_words_compared``), or without a reference for the language (fewer than
 ``least_documents``), the distance is null and rejects nothing.
 
 Only DataFrame functions; one pass over the texts, whose small results are stored, and a
@@ -38,10 +38,11 @@ SYMBOLS = "#*$%&|<>"
 class Rules:
     least_words: int = 50
     repeat_percent: int = 50
-    least_chars: int = 200
+    least_chars: int = 200  # guard of the character classes
+    least_words_compared: int = 100  # guard of the common words: shorter texts are mostly noise
     least_documents: int = 20
-    class_distance: float = 0.35
-    word_distance: float = 0.45
+    class_distance: float = 0.30
+    word_distance: float = 0.275
 
 
 def words_of(text: Column) -> Column:
@@ -150,13 +151,18 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def _guarded(rules: Rules) -> Column:
-    return (F.col("__chars") >= rules.least_chars) & (F.col("n_words") >= rules.least_words)
+def _guards(rules: Rules) -> dict[str, Column]:
+    return {
+        "__classes": F.col("__chars") >= rules.least_chars,
+        "__common": F.col("n_words") >= rules.least_words_compared,
+    }
 
 
 def references(found: DataFrame, rules: Rules) -> DataFrame:
     """A row for each language of ``COMMON_WORDS`` with enough documents: at most that many rows."""
-    good = found.where(F.col("lang").isin(*COMMON_WORDS) & ~F.col("base_failed") & _guarded(rules))
+    guards = _guards(rules)
+    long_enough = guards["__classes"] & guards["__common"]
+    good = found.where(F.col("lang").isin(*COMMON_WORDS) & ~F.col("base_failed") & long_enough)
     sums = [F.count(F.lit(1)).alias("__n")]
     sizes = {"__classes": 7, "__common": max(map(len, COMMON_WORDS.values())) + 1}
     for name, size in sizes.items():
@@ -183,7 +189,7 @@ def judge(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     def distance(name: str) -> Column:
         return F.when(
-            _guarded(rules) & F.col(f"__r{name}").isNotNull(),
+            _guards(rules)[name] & F.col(f"__r{name}").isNotNull(),
             js_distance(_shares(F.col(name)), F.col(f"__r{name}")),
         )
 
