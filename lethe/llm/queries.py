@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, quality, secrets, token_counts
+from lethe.llm import chat, quality, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -25,6 +25,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     own = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
@@ -49,5 +54,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op6_chat_formatting, op9_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_quality_rules,
+        op4_simhash_near_dedup,
+        op6_chat_formatting,
+        op9_token_counts,
+    )
+}
 ORACLE: dict[str, str] = {}
