@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, quality, secrets, simhash, token_counts
+from lethe.llm import chat, contamination, quality, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -49,6 +49,11 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), F.round("shared", 6).alias("shared"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -61,6 +66,7 @@ QUERIES = {
         op2_quality_rules,
         op4_simhash_near_dedup,
         op6_chat_formatting,
+        op7_benchmark_decontamination,
         op9_token_counts,
     )
 }
