@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, contamination, quality, secrets, simhash, token_counts
+from lethe.llm import chat, contamination, pieces, quality, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -54,6 +54,18 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), F.round("shared", 6).alias("shared"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "lossless",
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -67,6 +79,7 @@ QUERIES = {
         op4_simhash_near_dedup,
         op6_chat_formatting,
         op7_benchmark_decontamination,
+        op8_sentencepiece,
         op9_token_counts,
     )
 }
