@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, contamination, pieces, quality, secrets, simhash, token_counts
+from lethe.llm import chat, contamination, lines, pieces, quality, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -25,6 +25,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents")).withColumn(
+        "dropped", F.array_join(F.transform("dropped", lambda i: i.cast("string")), ",")
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -76,6 +82,7 @@ QUERIES = {
     for f in (
         op1_secret_scan,
         op2_quality_rules,
+        op3_line_dedup,
         op4_simhash_near_dedup,
         op6_chat_formatting,
         op7_benchmark_decontamination,
