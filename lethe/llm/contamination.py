@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.frames import pick, ship
+from lethe.llm.frames import numbered, pick, ship
 from lethe.llm.words import separators, sliced, words_of
 
 THRESHOLD = 0.6
@@ -268,4 +268,11 @@ def leaks(benchmark: DataFrame, text: Column, threshold: float = THRESHOLD, **bo
     return reduce(lambda a, b: a | b, found, F.lit(False))
 
 
+def keep_clean(df: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, **bounds: int) -> DataFrame:
+    """The rows of ``df`` (with all columns) that hold no item."""
+    rows, names = numbered(df)
+    found = leaks(benchmark, F.col(names["text"]), threshold, **bounds)
+    return rows.where(~found).toDF(*df.columns)
+
+
 ship(__name__)

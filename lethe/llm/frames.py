@@ -48,6 +48,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return write_table(df, new_folder(df.sparkSession, label))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """The id (which may be null or repeated) and a hash of the text; equal for equal rows only."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.xxhash64(text.cast("string")))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for each row."""
     return F.transform(F.array(value), body)[0]

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.frames import SPACE, let, numbered, pick, stored
+from lethe.llm.frames import SPACE, let, numbered, pick, row_key, stored
 
 # Frequent words of each language.
 COMMON_WORDS = {
@@ -211,3 +211,14 @@ def judge_documents(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return judge(pick(df, "doc_id", "text", "lang"), rules).select(
         "doc_id", *COUNTS, "base_failed", "kept", "class_distance", "word_distance"
     )
+
+
+def keep_good(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``df`` (with all columns) that the rules keep."""
+    ours = pick(df, "doc_id", "text", "lang")
+    key = row_key(F.col("doc_id"), F.col("text"))
+    judged = judge(ours.select(key.alias("__key"), "text", "lang"), rules)
+    rejected = judged.where(~F.col("kept")).select("__key").distinct()
+    rows, names = numbered(df)
+    keyed = rows.withColumn("__key", row_key(F.col(names["doc_id"]), F.col(names["text"])))
+    return keyed.join(rejected, "__key", "left_anti").select(*rows.columns).toDF(*df.columns)

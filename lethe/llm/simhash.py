@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.frames import SPACE, pick, ship, stored
+from lethe.llm.frames import SPACE, numbered, pick, row_key, ship, stored
 
 SHINGLE, BUDGET = 3, 3
 #: Fingerprints in a node that are compared directly.
@@ -231,6 +231,19 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET)
     return docs.join(named, "fingerprint").select("doc_id", "text_hash", "fingerprint", "root", "component_id")
 
 
+def keep_one_of_each(df: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
+    """One row, with all columns, of each component: that with the least id (nulls last)."""
+    found = near_duplicates(df, shingle, budget)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    first = found.groupBy("root").agg(least.alias("c"))
+    key = F.concat_ws(":", F.coalesce(F.col("c.doc_id").cast("string"), F.lit("null")), F.col("c.text_hash"))
+    rows, names = numbered(df)
+    text = F.coalesce(F.col(names["text"]).cast("string"), F.lit(""))
+    keyed = rows.withColumn("__key", row_key(F.col(names["doc_id"]), text))
+    kept = keyed.join(first.select(key.alias("__key")), "__key", "left_semi").dropDuplicates(["__key"])
+    return kept.select(*rows.columns).toDF(*df.columns)
+
+
 def hexadecimal(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
