@@ -43,9 +43,19 @@ def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*safe), dict(zip(reversed(df.columns), reversed(safe)))
 
 
+#: Spark then removes the shuffle files of a written table at once and not some time later.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read again: a lost executor costs no recomputation."""
-    return write_table(df, new_folder(df.sparkSession, label))
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return write_table(df, new_folder(df.sparkSession, label))
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def row_key(doc_id: Column, text: Column) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, contamination, lines, pieces, quality, secrets, simhash, token_counts
+from lethe.llm import chat, contamination, lines, ngram_lm, pieces, quality, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -77,6 +77,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_lm.score(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.round("score", 3).alias("score"), F.round("mean", 5).alias("mean"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES = {
         op7_benchmark_decontamination,
         op8_sentencepiece,
         op9_token_counts,
+        op10_lm_scoring,
     )
 }
 ORACLE: dict[str, str] = {}
