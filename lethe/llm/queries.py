@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, contamination, lines, ngram_lm, pieces, quality, secrets, simhash, token_counts
+from lethe.llm import chat, contamination, lines, ngram_lm, pieces, quality, repeats, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -36,6 +36,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     own = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
@@ -89,6 +94,7 @@ QUERIES = {
         op2_quality_rules,
         op3_line_dedup,
         op4_simhash_near_dedup,
+        op5_suffix_array_dedup,
         op6_chat_formatting,
         op7_benchmark_decontamination,
         op8_sentencepiece,
