@@ -8,9 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Nulls stay visible and microseconds are kept; the defaults of to_json drop both.
+# Nulls stay visible and microseconds are kept; the defaults of to_json drop both. A fixed time
+# zone keeps row ids the same in every session.
 JSON_OPTIONS = {
     "ignoreNullFields": "false",
+    "timeZone": "UTC",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
@@ -18,7 +20,6 @@ JSON_OPTIONS = {
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 _INTEGRAL_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
-_INTEGRAL_SUFFIX = {T.ByteType: "Y", T.ShortType: "S", T.IntegerType: "", T.LongType: "L"}
 
 
 def quoted(column: str) -> str:
@@ -28,7 +29,7 @@ def quoted(column: str) -> str:
 
 def row_json(columns: Sequence[str]) -> Column:
     """The whole row as one JSON text."""
-    return F.to_json(F.expr(f"struct({', '.join(map(quoted, columns))})"), JSON_OPTIONS)
+    return F.to_json(F.struct(*[F.col(quoted(c)) for c in columns]), JSON_OPTIONS)
 
 
 def row_id(columns: Sequence[str]) -> Column:
@@ -53,35 +54,25 @@ def _canonical_integer(text: str, bits: int) -> int | None:
     return number if -(1 << (bits - 1)) <= number < (1 << (bits - 1)) else None
 
 
-def _is_text(column: str, values: Sequence[str]) -> Column:
-    """``column IN (...)``, built as one expression text unless a value needs escaping."""
-    plain = [v for v in values if "'" not in v and "\\" not in v]
-    if not plain:
-        return F.col(quoted(column)).isin(list(values))
-    found = F.expr(f"{quoted(column)} IN ({', '.join(f"'{v}'" for v in plain)})")
-    other = [v for v in values if "'" in v or "\\" in v]
-    return found | F.col(quoted(column)).isin(other) if other else found
-
-
 def equals_text(schema: T.StructType, column: str, values: Iterable[str]) -> Column:
     """``column``, taken as text, is one of ``values``.
 
     For text and whole numbers the comparison is done in the column's own type, which a
     file scan can use to skip row groups; a value that is not the exact text of such a
-    number (``05`` for 5) cannot match and is left out.
+    number (``05`` for 5) cannot match and is left out. Values become literals and never text that
+    Spark parses, where ``${...}`` would be replaced.
     """
     dtype = schema[column].dataType
     col = F.col(quoted(column))
     if isinstance(dtype, T.StringType):
-        return _is_text(column, list(values))
+        return col.isin(list(values))
     bits = _INTEGRAL_BITS.get(type(dtype))
     if bits is None:
         return col.cast("string").isin(list(values))
     numbers = [n for n in (_canonical_integer(v, bits) for v in values) if n is not None]
     if not numbers:
         return F.lit(False)
-    suffix = _INTEGRAL_SUFFIX[type(dtype)]
-    return F.expr(f"{quoted(column)} IN ({', '.join(f'{n}{suffix}' for n in numbers)})")
+    return col.isin([F.lit(n).cast(dtype) for n in numbers])
 
 
 def partition_text(partition_columns: Sequence[str]) -> Column:

@@ -16,6 +16,7 @@ from lethe.scratch import local_table, new_folder, remove, write_table
 from lethe.settings import LAKE, Limits, Settings
 
 HIT, NO_VALUE, NO_COLUMN, ERROR = "hit", "no_value", "no_column", "error"
+NOT_SEARCHED = "not_searched"
 CLOSED = ("subject", "table_name")
 
 
@@ -32,10 +33,13 @@ class SearchResult:
     probes: DataFrame
     passes: int
     errors: dict[str, str] = field(default_factory=dict)
+    complete: bool = True
+    """Whether the search ended by itself. If ``max_passes`` ended it, tables without a hit may hold rows."""
 
     def coverage(self) -> DataFrame:
-        """One row per subject and table: hit, no_value, no_column or error.
+        """One row per subject and table: hit, no_value, no_column, not_searched or error.
 
+        ``not_searched``: nothing was found, but the search was ended before it had run out of keys.
         One shuffle: all three inputs are counted together.
         """
         none = F.lit(None).cast("int")
@@ -52,6 +56,7 @@ class SearchResult:
         status = (
             F.when(failed, ERROR)
             .when(F.col("n_hits") > 0, HIT)
+            .when(F.lit(not self.complete), NOT_SEARCHED)
             .when(F.col("was_probed") > 0, NO_VALUE)
             .otherwise(NO_COLUMN)
         )
@@ -135,8 +140,8 @@ def search(
     spread = max((sum(c in f for f in by_table.values()) for c in probe_columns), default=0)
     fan = spread * max(map(len, by_table.values()), default=0)
     bound = subject_size.rows * len(link) * spread
-    number = 0
-    while frontier is not None and (max_passes is None or number < max_passes):
+    number, complete = 0, True
+    while frontier is not None:
         routed = L.route(frontier, table_columns)
         if all_hits and close_tables:
             closed = _union(all_hits).select(*CLOSED).distinct()
@@ -147,16 +152,18 @@ def search(
         open_now = [t for t in probes.sizes if t not in errors]
         if not open_now:
             break
+        if max_passes is not None and number >= max_passes:
+            complete = False  # there would have been something to look for
+            break
         number += 1
         all_probes.append(probes.frame)
-        scans = {}
-        for t in open_now:
+        def scan(t: str) -> DataFrame:
             values, size = probes.frame.where(F.col("table_name") == t), probes.sizes[t]
             if not size.fits(limits):
                 narrowed = L.narrow_probes(opened[t], values, by_table[t])
                 values = write_table(narrowed, f"{folder}/narrowed/pass={number}/{t}")
                 size = measure(values)
-            scans[t] = L.probe(
+            return L.probe(
                 opened[t],
                 t,
                 source,
@@ -169,6 +176,14 @@ def search(
                 [c for c in opened[t].columns if c in partition_columns],
                 order_columns.get(t),
             )
+
+        scans = {}
+        for t in open_now:
+            # planning may read the table, so it can fail like the scan itself
+            try:
+                scans[t] = scan(t)
+            except Exception as failure:  # noqa: BLE001 - must end up in the coverage
+                errors[t] = type(failure).__name__
         hits, n_hits = _write_hits(spark, scans, number, f"{folder}/hits/pass={number}", errors, limits)
         if first_match and number > 1:
             pair = ["subject", "table_name", "matched_column", "matched_value"]
@@ -187,6 +202,7 @@ def search(
         _union(all_probes) if all_probes else spark.createDataFrame([], L.PROBE_SCHEMA),
         number,
         errors,
+        complete,
     )
 
 
@@ -233,7 +249,6 @@ def _fix_probes(routed: DataFrame, bound: int, path: str, limits: Limits) -> _Pr
         frame = write_table(routed.select(*fields), path, ("table_name",))
         sizes = _sizes_by_table(frame)
         few = [t for t, s in sizes.items() if s.rows <= limits.literal_pairs]
-        few = few[: limits.tables_per_job]
         rows = frame.where(F.col("table_name").isin(few)).collect() if few else []
     values: dict[str, dict[str, dict[str, None]]] = {}
     for row in rows:

@@ -76,6 +76,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """The path of a file's address as Spark reports it (``%7D`` for ``}`` and the like)."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """What lies directly in a folder; nothing if it is not there."""
     hadoop_path, fs = _hadoop_path(spark, path)

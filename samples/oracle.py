@@ -59,6 +59,10 @@ def _subjects(everybody: bool) -> str:
     return f"subjects AS (SELECT subject FROM (VALUES {values}) v(subject))"
 
 
+# The business key by its parts, as numbers.
+_KEY_PARTS = ", ".join(f"TRY_CAST(split_part(row_key, '/', {i}) AS DOUBLE)" for i in range(1, 6))
+
+
 def search_ctes(
     everybody: bool = False,
     passes: int = 5,
@@ -96,11 +100,9 @@ def search_ctes(
         ctes.append(f"{p}h{n} AS MATERIALIZED ({found})")
         rows = f"{p}h{n}"
         if harvest_first:
-            # by the parts of the business key, as numbers
-            order = ", ".join(f"TRY_CAST(split_part(row_key, '/', {i}) AS DOUBLE)" for i in range(1, 6))
             rows = (
                 f"(SELECT * FROM {p}h{n} QUALIFY row_number() OVER (PARTITION BY subject, table_name, "
-                f"matched_column, matched_value ORDER BY {order}) = 1)"
+                f"matched_column, matched_value ORDER BY {_KEY_PARTS}) = 1)"
             )
         new = (
             f"SELECT DISTINCT h.subject, c.col, c.val FROM {rows} h JOIN cells c "
@@ -172,7 +174,7 @@ _TOUCHED = (
 
 
 def _touched(select: str) -> str:
-    return f"WITH {search_ctes(passes=2)},\n{_TOUCHED}\n{select}"
+    return f"WITH {search_ctes()},\n{_TOUCHED}\n{select}"
 
 
 _MANIFEST = (
@@ -329,17 +331,16 @@ ORACLE: dict[str, str] = {
         "SELECT email, 'contact_email', email, 'web_pii.events_pii' FROM customer_pii"
     ),
     "harvest_keys_all": _search(
-        'SELECT subject, col AS "column", val AS value FROM f2 UNION SELECT * FROM f3',
+        'SELECT subject, col AS "column", val AS value FROM f2 '
+        + " ".join(f"UNION SELECT * FROM f{n}" for n in range(3, 7)),
         everybody=True,
-        passes=2,
     ),
     "harvest_keys_first": _search(
         "SELECT DISTINCT h.subject, c.col AS \"column\", c.val AS value FROM (SELECT * FROM hits "
         "QUALIFY row_number() OVER (PARTITION BY subject, table_name, matched_column, matched_value "
-        "ORDER BY CAST(row_key AS BIGINT)) = 1) h JOIN cells c ON h.table_name = c.table_name "
+        f"ORDER BY {_KEY_PARTS}) = 1) h JOIN cells c ON h.table_name = c.table_name "
         "AND h.row_key = c.row_key AND h.matched_column <> c.col",
         everybody=True,
-        passes=2,
     ),
     "frontier_next": _search(
         'SELECT DISTINCT col AS "column", val AS value FROM f2', everybody=True, passes=1
@@ -347,7 +348,7 @@ ORACLE: dict[str, str] = {
     "link_fixpoint": _search(_ROWS),
     "link_fixpoint_everybody": _search(_ROWS, everybody=True),
     "link_fixpoint_first": _search(_ROWS, harvest_first=True),
-    "link_full_closure": _search(
+    "link_open_three_passes": _search(
         "SELECT subject, table_name, pass, count(*) AS n_hits FROM hits GROUP BY ALL",
         everybody=True,
         passes=3,
@@ -420,14 +421,12 @@ ORACLE: dict[str, str] = {
         "AS update_flag, h.row_key FROM hits h LEFT JOIN orders_pii o "
         "ON h.row_key = CAST(o.orderkey AS VARCHAR) AND h.table_name = 'sales_pii.orders_pii'",
         everybody=True,
-        passes=2,
     ),
     "review_filter": _search(
         "SELECT DISTINCT h.subject, h.table_name AS \"Table Name\", h.row_key FROM hits h "
         "JOIN orders_pii o ON h.row_key = CAST(o.orderkey AS VARCHAR) "
         "WHERE h.table_name = 'sales_pii.orders_pii' AND o.orderstatus = 'F'",
         everybody=True,
-        passes=2,
     ),
     "hits_from_json": _search(
         "SELECT h.subject, o.orderkey, o.custkey, o.totalprice, o.orderstatus, "
@@ -435,18 +434,15 @@ ORACLE: dict[str, str] = {
         "JOIN orders_pii o ON h.row_key = CAST(o.orderkey AS VARCHAR) "
         "WHERE h.table_name = 'sales_pii.orders_pii'",
         everybody=True,
-        passes=2,
     ),
     "erase_targets": _search(
         "SELECT DISTINCT table_name FROM hits WHERE table_name <> 'web_pii.events_pii'",
         everybody=True,
-        passes=2,
     ),
     "partitions_touched": _search(
         "SELECT DISTINCT strftime(o.order_ts, '%Y/%m/%d') AS partition FROM hits h JOIN orders_pii o "
         "ON h.row_key = CAST(o.orderkey AS VARCHAR) WHERE h.table_name = 'sales_pii.orders_pii'",
         everybody=True,
-        passes=2,
     ),
     # erase
     "hash_sha256": _lake("SELECT custkey, sha256(email) AS hashed FROM customer_pii"),
@@ -479,15 +475,13 @@ ORACLE: dict[str, str] = {
         f"WITH {_REPEATED} SELECT user_id, event_type, count(*) AS n_rows FROM ev "
         "WHERE (user_id, event_type) NOT IN (SELECT * FROM flagged) GROUP BY ALL"
     ),
-    "erase_mask_replace": _search(_MASKED_ORDERS, passes=2),
+    "erase_mask_replace": _search(_MASKED_ORDERS),
     "erase_delete": _search(
         f"SELECT {_ORDER_COLUMNS} FROM orders_pii WHERE CAST(orderkey AS VARCHAR) NOT IN ({_FLAGGED})",
-        passes=2,
     ),
     "swap_check": _search(
         f"SELECT n AS n_added, n AS n_masked, n AS n_common, true AS passed FROM "
         f"(SELECT count(DISTINCT row_key) AS n FROM ({_FLAGGED}))",
-        passes=2,
     ),
     "audit_partition_counts": _search(
         "SELECT partition_0 || '/' || partition_1 AS partition, count(*) AS n_before, "
@@ -495,7 +489,6 @@ ORACLE: dict[str, str] = {
         "count(*) FILTER (NOT hit) AS n_after FROM (SELECT *, orderstatus = 'F' AND "
         f"CAST(orderkey AS VARCHAR) IN ({_FLAGGED}) AS hit FROM orders_pii) GROUP BY ALL",
         everybody=True,
-        passes=2,
     ),
     "update_by_row_match": _lake(
         "SELECT orderkey, CASE WHEN orderstatus <> 'F' THEN custkey END AS custkey, orderstatus, "
@@ -510,14 +503,13 @@ ORACLE: dict[str, str] = {
         "name || '''''s''' END || ' AND nationkey = ' || nationkey || ' AND acctbal = ' || acctbal || "
         "' AND mktsegment = ''' || mktsegment || ''';' AS statement FROM customer_pii"
     ),
-    "erase_partition_rewrite": _search(_MASKED_ORDERS, passes=2),
-    "update_rewrite": _search(_MASKED_ORDERS, passes=2),
+    "erase_partition_rewrite": _search(_MASKED_ORDERS),
+    "update_rewrite": _search(_MASKED_ORDERS),
     "erase_partition_delete": _search(
         f"SELECT 'gone' AS what, count(*) AS n_rows FROM orders_pii WHERE CAST(orderkey AS VARCHAR) "
         f"IN ({_FLAGGED}) UNION ALL SELECT 'left', count(*) FROM orders_pii "
         f"WHERE CAST(orderkey AS VARCHAR) NOT IN ({_FLAGGED}) HAVING count(*) > 0",
         everybody=True,
-        passes=2,
     ),
     "audit_rewrite": _touched(
         "SELECT o.partition_0 || '/' || o.partition_1 AS partition, count(*) AS n_before, "

@@ -276,19 +276,19 @@ def frontier_by_table(spark, sf_dir):
 
 @query
 def harvest_keys_all(spark, sf_dir):
-    return linkage.harvest(find(spark, sf_dir, everybody=True, max_passes=2).hits)
+    return linkage.harvest(find(spark, sf_dir, everybody=True).hits)
 
 
 @query
 def harvest_keys_first(spark, sf_dir):
     order = {name: keys for name, keys in ROW_KEY.items()}
-    found = find(spark, sf_dir, everybody=True, max_passes=2, order_columns=order)
+    found = find(spark, sf_dir, everybody=True, order_columns=order)
     return linkage.harvest(found.hits, "first")
 
 
 @query
 def frontier_next(spark, sf_dir):
-    """Search values of pass 2: what pass 1 harvested, where it still has to be looked for."""
+    """Search values of pass 2, by definition: what pass 1 harvested, where it still has to be looked for."""
     found = find(spark, sf_dir, everybody=True, max_passes=1)
     return found.hits.transform(linkage.harvest).select("column", "value").distinct()
 
@@ -318,8 +318,8 @@ def link_fixpoint_first(spark, sf_dir):
 
 
 @query
-def link_full_closure(spark, sf_dir):
-    """Tables stay open: all rows that any chain of keys reaches, within three passes."""
+def link_open_three_passes(spark, sf_dir):
+    """Tables stay open: what chains of keys reach within three passes, by definition of the query."""
     found = find(spark, sf_dir, everybody=True, close_tables=False, max_passes=3)
     return found.hits.groupBy("subject", "table_name", "pass").agg(
         F.count(F.lit(1)).alias("n_hits")
@@ -425,7 +425,7 @@ def subject_report(spark, sf_dir):
 
 def _decided(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Everybody's customer, event and order rows; the reviewer keeps finished orders."""
-    reported = review.report(find(spark, sf_dir, everybody=True, max_passes=2).hits)
+    reported = review.report(find(spark, sf_dir, everybody=True).hits)
     status = F.get_json_object("row_json", "$.orderstatus")
     decisions = reported.where(status.isin("F", "O")).select(
         "subject",
@@ -456,7 +456,7 @@ def review_filter(spark, sf_dir):
 @query
 def hits_from_json(spark, sf_dir):
     schema = lake.orders_pii(spark, sf_dir).schema
-    hits = find(spark, sf_dir, everybody=True, max_passes=2).hits
+    hits = find(spark, sf_dir, everybody=True).hits
     return review.read_rows(hits, ORDERS, schema).select(
         "subject", "orderkey", "custkey", "totalprice", "orderstatus",
         F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss").alias("order_ts"), "partition_1",
@@ -472,7 +472,7 @@ def erase_targets(spark, sf_dir):
 @query
 def partitions_touched(spark, sf_dir):
     """From numbers, as they come back without padding; months 10 to 12 stay two digits."""
-    hits = find(spark, sf_dir, everybody=True, max_passes=2).hits
+    hits = find(spark, sf_dir, everybody=True).hits
     rows = review.read_rows(hits, ORDERS, lake.orders_pii(spark, sf_dir).schema).select(
         *[F.col(c).cast("int").alias(c) for c in lake.PARTITIONS]
     )
@@ -570,21 +570,21 @@ def _order_columns(df: DataFrame) -> DataFrame:
 @query
 def erase_mask_replace(spark, sf_dir):
     """The order table with the requested people's orders masked."""
-    hits = find(spark, sf_dir, max_passes=2).hits.where(F.col("table_name") == ORDERS)
+    hits = find(spark, sf_dir).hits.where(F.col("table_name") == ORDERS)
     return _order_columns(erase.erase(lake.orders_pii(spark, sf_dir), hits, columns=MASKED))
 
 
 @query
 def erase_delete(spark, sf_dir):
     """The order table without them."""
-    hits = find(spark, sf_dir, max_passes=2).hits.where(F.col("table_name") == ORDERS)
+    hits = find(spark, sf_dir).hits.where(F.col("table_name") == ORDERS)
     return _order_columns(erase.erase(lake.orders_pii(spark, sf_dir), hits, action="delete"))
 
 
 @query
 def swap_check(spark, sf_dir):
     old = lake.orders_pii(spark, sf_dir)
-    hits = find(spark, sf_dir, max_passes=2).hits.where(F.col("table_name") == ORDERS)
+    hits = find(spark, sf_dir).hits.where(F.col("table_name") == ORDERS)
     new = erase.erase(old, hits, columns=MASKED)
     flagged = erase.tag_flagged(old, hits).where(erase.is_flagged())
     masked = masking.mask(erase.untag(flagged), MASKED)
@@ -593,7 +593,7 @@ def swap_check(spark, sf_dir):
 
 @query
 def audit_partition_counts(spark, sf_dir):
-    hits = find(spark, sf_dir, everybody=True, max_passes=2).hits
+    hits = find(spark, sf_dir, everybody=True).hits
     flagged = hits.where(
         (F.col("table_name") == ORDERS) & (F.get_json_object("row_json", "$.orderstatus") == "F")
     )
@@ -659,7 +659,6 @@ def _rewritten(
         subjects,
         NO_COUNTRY,
         columns=lake.columns(spark, tables),
-        max_passes=2,
         partition_columns=MONTHS,
     )
     reported = review.report(found.hits.where(F.col("table_name") == ORDERS))

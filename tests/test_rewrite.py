@@ -1,6 +1,7 @@
 """The staged rewrite on storage: what it must never lose, leave behind or repeat."""
 
 import hashlib
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,6 @@ from lethe import (
 )
 from lethe.functions.identity import row_id, row_json
 from lethe.plans import rewrite
-from lethe.plans.rewrite import partition_folder
 
 SCHEMA = "email string, user_id bigint, note string, y string, m string"
 TOKEN = hashlib.sha256(b"email").hexdigest()
@@ -186,11 +186,85 @@ def test_nothing_flagged_changes_nothing(spark, table, place):
     assert audit.isEmpty() and data_files(table.path) == files
 
 
-def test_partition_folder_spelling(spark, tmp_path):
-    values = ("a/b:c", None)
-    path = tmp_path / "odd"
-    spark.createDataFrame([(1, *values)], "i int, p string, q string").write.partitionBy("p", "q").parquet(str(path))
-    assert (path / partition_folder(("p", "q"), values)).is_dir()
+@pytest.mark.parametrize("value", ["a}b", "a/b:c", "50% off", "[x]^'\"", None])
+def test_odd_partition_is_emptied_and_purged(spark, tmp_path, place, value):
+    path = str(tmp_path / "odd")
+    rows = spark.createDataFrame([("a@x.de", 1, value), ("b@x.de", 2, "other")], "email string, k int, p string")
+    rows.write.partitionBy("p").parquet(path)
+    table = LakeTable("s_pii.odd_pii", path, ("p",))
+    Run(spark, table, place, "r1", Change("delete")).run(flagged(spark, table, "k = 1"))
+    assert [r[0] for r in content(spark, table)] == ["b@x.de"]
+    assert len(data_files(place.backups)) == 1
+    assert purge(spark, place, "a@x.de") == 1
+    assert data_files(place.backups) == [] and read_manifest(spark, place).isEmpty()
+
+
+def test_columns_of_newer_files_are_kept(spark, tmp_path, place):
+    path = str(tmp_path / "evolved")
+    old = spark.createDataFrame([("a@x.de", 1, "1"), ("b@x.de", 2, "1")], "email string, k int, p string")
+    old.write.partitionBy("p").parquet(path)
+    new = spark.createDataFrame([("a@x.de", 3, "more", "2")], "email string, k int, extra string, p string")
+    new.write.mode("append").partitionBy("p").parquet(path)
+    table = LakeTable("s_pii.evolved_pii", path, ("p",))
+    run = Run(spark, table, place, "r1", Change("mask", ("email",)))
+    run.run(flagged(spark, table, "email = 'a@x.de'"))
+    assert sorted((r["k"], r["extra"]) for r in table.read(spark).collect()) == [(1, None), (2, None), (3, "more")]
+    assert "more" in {r["extra"] for r in run.backup().collect()}
+    short = replace(table, schema=old.schema)
+    with pytest.raises(CheckFailed, match="extra"):
+        Run(spark, short, place, "r2", Change("delete")).run(flagged(spark, table, "k = 2"))
+
+
+def test_reused_run_id_is_refused(spark, table, place):
+    change = Change("mask", ("email",))
+    first, second = (spark.createDataFrame(f.collect(), f.schema) for f in (
+        flagged(spark, table, "email = 'a@x.de'"), flagged(spark, table, "email = 'b@x.de'")))
+    Run(spark, table, place, "r1", change).run(first)
+    with pytest.raises(ValueError, match="other rows"):
+        Run(spark, table, place, "r1", change).run(second)
+    with pytest.raises(ValueError, match="other rows"):
+        Run(spark, table, place, "r1", Change("delete")).run(first)
+    assert "b@x.de" in {r[0] for r in content(spark, table)}
+
+
+@pytest.mark.parametrize("lost", ["y=2024/m=02", "y=2024/m=10", "."])
+def test_swap_stopped_inside_goes_on(spark, table, place, monkeypatch, lost):
+    rows = flagged(spark, table, "email = 'a@x.de'")
+    run = Run(spark, table, place, "r1", Change("mask", ("email",)))
+
+    def stop(self, live):
+        for file in Path(table.path, lost).rglob("part-*"):
+            if "m=11" not in str(file):
+                file.unlink()
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Run, "_refuse_if_not_swapped", stop)
+        with pytest.raises(OSError):
+            run.run(rows)
+    assert run.state() == "swapping"
+    again = Run(spark, table, place, "r1", Change("mask", ("email",)))
+    again.run()
+    assert sorted(r[0] for r in content(spark, table)) == sorted([TOKEN] * 3 + ["b@x.de", "c@x.de"])
+    again.restore()
+    assert sorted(r[0] for r in content(spark, table)) == ["a@x.de"] * 3 + ["b@x.de", "c@x.de"]
+
+
+def test_row_ids_do_not_depend_on_the_session(spark, tmp_path, place):
+    path = str(tmp_path / "zoned")
+    spark.sql("SELECT 'a@x.de' AS email, timestamp'2024-01-01 10:00:00' AS ts").write.parquet(path)
+    table = LakeTable("s_pii.zoned_pii", path)
+    rows = flagged(spark, table, "true")
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    unknown = rows.withColumn("row_id", F.lit("0"))
+    with pytest.raises(CheckFailed):
+        Run(spark, table, place, "r0", Change("delete")).run(unknown)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        Run(spark, table, place, "r1", Change("mask", ("email",))).run(rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert content(spark, table)[0][0] == TOKEN
 
 
 def test_whole_workflow_with_review(spark, table, place):
@@ -221,7 +295,13 @@ def test_denied_and_unsearched_tables(spark, table, place):
         F.lit("Y").alias("update_flag"), "row_id", "row_json",
     )
     change = Change("delete")
-    assert erase_reviewed(spark, {}, reviewed, place, "r1", change, deny=[table.name]) == {}
+    fine = spark.createDataFrame([("hit",)], "status string")
+    assert erase_reviewed(spark, {}, reviewed, place, "r1", change, deny=[table.name], coverage=fine) == {}
+    with pytest.raises(KeyError):
+        erase_reviewed(spark, {}, reviewed, place, "r1", change, coverage=fine)
+    cut = spark.createDataFrame([("not_searched",)], "status string")
+    with pytest.raises(RuntimeError):
+        erase_reviewed(spark, {table.name: table}, reviewed, place, "r1", change, coverage=cut)
     failed = spark.createDataFrame([("error",)], "status string")
     with pytest.raises(RuntimeError):
         erase_reviewed(spark, {table.name: table}, reviewed, place, "r1", change, coverage=failed)
