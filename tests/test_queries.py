@@ -6,14 +6,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+import samples.oracle
+import samples.queries
 from tests.conftest import MEDIUM, SMALL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {name: entry_module.queries()[name] for name in samples.queries.QUERIES}
+ORACLE = {name: entry_module.oracle_sql()[name] for name in samples.oracle.ORACLE}
 
 
 def database(folder):

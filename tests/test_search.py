@@ -171,6 +171,44 @@ def test_unreadable_table_is_reported(spark, shop, tmp_path):
     assert status["s_pii.orders_pii"] == HIT
 
 
+@pytest.mark.parametrize("limits", [Limits(), WRITTEN, SHUFFLED, Limits(broadcast_rows=0), Limits(literal_pairs=0)])
+def test_unreadable_table_is_an_error_under_all_limits(spark, shop, tmp_path, limits):
+    path = str(tmp_path / "gone")
+    spark.createDataFrame([("a@x.de", 1)], "email string, custkey long").write.parquet(path)
+    broken = spark.read.parquet(path)
+    for file in (tmp_path / "gone").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    whole = run(spark, shop, "a@x.de", limits=limits)
+    found = run(spark, {**shop, "crm_pii.broken_pii": broken}, "a@x.de", limits=limits)
+    assert hits(found) == hits(whole)
+    status = {r["table_name"]: r["status"] for r in found.coverage().collect()}
+    assert status["crm_pii.broken_pii"] == ERROR
+
+
+ODD = ["${spark.app.name}", "it's", 'a"b', "back\\slash", "tick`s", "two\nlines", "%s {x}", "\\u0041"]
+
+
+@pytest.mark.parametrize("limits", [Limits(), WRITTEN, SHUFFLED, Limits(literal_pairs=0), Limits(broadcast_rows=0)])
+def test_odd_values_are_found_under_all_limits(spark, limits):
+    emails = [f"{x}@x.de" for x in ODD]
+    tables = {
+        "a_pii.one_pii": spark.createDataFrame([(e, f"k{x}") for e, x in zip(emails, ODD)], "email string, refkey string"),
+        "a_pii.two_pii": spark.createDataFrame([(f"k{x}", i) for i, x in enumerate(ODD)], "refkey string, n int"),
+    }
+    found = run(spark, tables, *emails, limits=limits)
+    assert found.complete
+    got = sorted((r["subject"], r["table_name"]) for r in found.hits.collect())
+    assert got == sorted((e, t) for e in emails for t in tables)
+
+
+def test_a_search_that_was_cut_says_so(spark, shop):
+    cut = run(spark, shop, "a@x.de", max_passes=1)
+    assert not cut.complete
+    status = {r["status"] for r in cut.coverage().collect()}
+    assert "not_searched" in status and NO_COLUMN not in status and NO_VALUE not in status
+    assert run(spark, shop, "a@x.de").complete
+
+
 def test_missing_table_is_reported(spark, shop):
     columns = columns_of(spark, shop)
     some = {k: v for k, v in shop.items() if "orders" not in k}
