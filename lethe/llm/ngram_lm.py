@@ -11,7 +11,7 @@ Words are parted at white space, taken as they are, and known by 64-bit hashes.
 *Relational plan.*
 
 1. Word counts: each task counts a slice of texts, one aggregation by word hash adds up.
-2. Frequent words (more than ``N / FREQUENT`` of N, so fewer than ``FREQUENT``) go to all tasks with their counts,
+2. Frequent words (more than ``N / FREQUENT`` of N, so fewer than ``FREQUENT``) go to all tasks with their counts (16 MB at most),
    and so do frequent pairs (more than ``N / HOT`` of N; both words then are among the fewer than ``HOT`` words
    that are as frequent). Pairs with a frequent count need no join; so no key of step 3 has a large share.
 3. All other pairs are exploded and dealt by the hash of the pair into buckets of about ``BUCKET`` pairs,
@@ -39,8 +39,11 @@ from lethe.llm.frames import pick, ship, stored
 from lethe.llm.words import mix, separators, sliced, words_of
 
 BACKOFF, LEAST = 0.4, 2
-FREQUENT, HOT = 65_536, 4_096
+FREQUENT, HOT = 1 << 20, 4_096
 BUCKET = 1_000_000
+_RANK = np.uint64(24)  # bits of a frequent word's number in a pair
+_RARE = np.uint64(1 << 63)
+_SLICE = 8 << 20
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -48,7 +51,7 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int):
     """(batch, first row, texts, words) of slices of the batches."""
     table = separators()
     for batch in batches:
-        for row, offsets, data in sliced(batch.column(column)):
+        for row, offsets, data in sliced(batch.column(column), _SLICE):
             yield batch, row, len(offsets) - 1, words_of(offsets, data, table)
 
 
@@ -86,7 +89,7 @@ def pair_counter(hot_words):
 
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of equal weight together: sorted numbers then compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def _from_planes(data: bytes, kind) -> np.ndarray:
@@ -115,10 +118,11 @@ class Settings:
 
 
 def dealer(settings):
-    """Documents (key, text) to packed rows of buckets, and what is known at once (bucket -1).
+    """Documents (key, text) to packed rows of buckets.
 
-    A packed row holds, for its pairs: the key (two numbers of frequent words, or a hash), the place of the
-    document in ``docs``, and the two words' hashes where they are not frequent.
+    A packed row holds the pairs of a bucket: those of two frequent words as one number, then the others as the
+    numbers of two words each (a rare word by its hash, with the top bit set); ``at`` says which of ``docs`` each is
+    in. A row with ``value`` holds what was known at once, and words that stand first and are rare.
     """
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,116 +130,97 @@ def dealer(settings):
         for batch, row, n, words in _slices(batches, 1):
             docs = batch.column(0).slice(row, n).to_numpy(zero_copy_only=False).astype(np.int64)
             rank, known = _lookup(s.words, words.hash)
+            name = np.where(known, rank.astype(np.uint64), words.hash | _RARE)
             u, text = _pairs(words)
-            v = u + 1
-            rows: dict[str, list] = {c: [] for c in ("bucket", "docs", "at", "key", "rare_u", "rare_v")}
-            # pairs of frequent count, and first words, are settled by word counts or at once
-            pair = pair_hash(words.hash[u], words.hash[v])
+            pair = pair_hash(words.hash[u], words.hash[u + 1])
+            # pairs of frequent count, and first words, need no pair count
             hot_at, hot = _lookup(s.pairs, pair)
             value = np.zeros(n)
-            np.add.at(value, text[v[hot]], s.pair_logs[hot_at[hot]] - s.word_logs[rank[u[hot]]])
+            np.add.at(value, text[u[hot]], s.pair_logs[hot_at[hot]] - s.word_logs[rank[u[hot]]])
             first = words.first[:-1][np.diff(words.first) > 0]
-            easy = first[known[first]]
+            easy, hard = first[known[first]], first[~known[first]]
             np.add.at(value, text[easy], s.word_logs[rank[easy]] + s.floor)
             some = np.flatnonzero(value)
-            rows["bucket"].append(-1)
-            rows["docs"].append(docs[some].tobytes())
-            rows["at"].append(value[some].tobytes())
-            hard = first[~known[first]]
-            rows["key"].append(docs[text[hard]].tobytes())
-            rows["rare_u"].append(words.hash[hard].tobytes())
-            rows["rare_v"].append(b"")
-            u, v, pair = u[~hot], v[~hot], pair[~hot]
-            plain = known[u] & known[v]
-            key = np.where(plain, (rank[u].astype(np.uint64) << np.uint64(16)) | rank[v].astype(np.uint64), pair | np.uint64(1 << 63))
+            out = [
+                (row % s.buckets, docs[np.append(some, text[hard])].tobytes(), value[some].tobytes(), name[hard].tobytes(), b"", b"")
+            ]
+            u, pair = u[~hot], pair[~hot]
             bucket = (pair % np.uint64(s.buckets)).astype(np.int64)
-            order = np.lexsort((key, bucket))
+            order = np.lexsort((name[u + 1], name[u], bucket))
             bounds = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
             for a, b in zip(bounds, [*bounds[1:], len(order)]):
-                mine = order[a:b]
-                own, at = np.unique(text[u[mine]], return_inverse=True)
-                loose = mine[~plain[mine]]
-                rows["bucket"].append(int(bucket[mine[0]]))
-                rows["docs"].append(docs[own].tobytes())
-                rows["at"].append(_planes(at.astype(np.uint32)))
-                rows["key"].append(_planes(key[mine]))
-                rows["rare_u"].append(np.where(known[u[loose]], rank[u[loose]].astype(np.uint64), words.hash[u[loose]] | np.uint64(1 << 63)).tobytes())
-                rows["rare_v"].append(np.where(known[v[loose]], rank[v[loose]].astype(np.uint64), words.hash[v[loose]] | np.uint64(1 << 63)).tobytes())
+                mine = u[order[a:b]]
+                plain = known[mine] & known[mine + 1]
+                mine = np.append(mine[plain], mine[~plain])
+                both, loose = mine[: plain.sum()], mine[plain.sum() :]
+                own, at = np.unique(text[mine], return_inverse=True)
+                key = (name[both] << _RANK) | name[both + 1]
+                out.append(
+                    (int(bucket[order[a]]), docs[own].tobytes(), _planes(at.astype(np.uint32)), _planes(key), _planes(name[loose]), _planes(name[loose + 1]))
+                )
+            columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["bucket"], pa.int64()), *[pa.array(rows[c], pa.binary()) for c in ("docs", "at", "key", "rare_u", "rare_v")]],
-                names=list(rows),
+                [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]], pa.array([True] + [False] * (len(out) - 1))],
+                names=["bucket", "docs", "at", "key", "u", "v", "value"],
             )
 
     return dealt
 
 
-DEALT = "bucket long, docs binary, at binary, key binary, rare_u binary, rare_v binary"
+DEALT = "bucket long, docs binary, at binary, key binary, u binary, v binary, value boolean"
 PARTIAL = "key long, value double, word long, n long"
 
 
-def _partial(docs, values, word=None, n=None) -> pd.DataFrame:
-    return pd.DataFrame({"key": docs, "value": values, "word": word, "n": n})
+def _spread(docs: np.ndarray) -> np.ndarray:
+    """A word number that no word has (the top bit is not set), different for most documents."""
+    return (mix(docs.view(np.uint64)) >> np.uint64(1)).view(np.int64)
 
 
 def bucket_joiner(settings):
     """Joins the pairs of a bucket to its part of the count table.
 
-    Gives (document, value) rows, and (document, word, n) rows: ``n`` times the logarithm of the word's count
-    is still to be added.
+    Gives (document, value) rows, and where ``n`` is not 0 that many logarithms of the word's count are still to
+    be added.
     """
 
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
         s: Settings = settings.value
-        docs, keys, us, vs = [], [], [], []
-        for r in rows.itertuples(index=False):
-            key = _from_planes(r.key, np.uint64)
+        docs, names, values, out = [], [], [], []
+        for r in rows[rows["value"]].itertuples(index=False):
+            doc, value, word = (np.frombuffer(x, t) for x, t in ((r.docs, np.int64), (r.at, np.float64), (r.key, np.uint64)))
+            known, hard = doc[: len(value)], doc[len(value) :]
+            zero = np.zeros(len(value), np.int64)
+            out.append(pd.DataFrame({"key": known, "value": value, "word": _spread(known), "n": zero}))
+            out.append(pd.DataFrame({"key": hard, "value": np.full(len(hard), s.floor), "word": word.view(np.int64), "n": np.ones(len(hard), np.int64)}))
+        for r in rows[~rows["value"]].itertuples(index=False):
+            key, u, v = (_from_planes(x, np.uint64) for x in (r.key, r.u, r.v))
             docs.append(np.frombuffer(r.docs, np.int64)[_from_planes(r.at, np.uint32)])
-            loose = key >> np.uint64(63) == 1
-            u, v = key >> np.uint64(16) & np.uint64(0xFFFF), key & np.uint64(0xFFFF)
-            u[loose], v[loose] = np.frombuffer(r.rare_u, np.uint64), np.frombuffer(r.rare_v, np.uint64)
-            keys.append(key)
-            us.append(u)
-            vs.append(v)
-        doc, key, u, v = (np.concatenate(x) for x in (docs, keys, us, vs))
-        _, which, counts = np.unique(key, return_inverse=True, return_counts=True)
-        c = counts[which]
-        seen = c >= s.least
-        word, sign = np.where(seen, u, v), np.where(seen, -1, 1)
-        value = np.where(seen, np.log(c), s.floor)
-        rare = word >> np.uint64(63) == 1
-        value[~rare] += sign[~rare] * s.word_logs[word[~rare].astype(np.int64)]
-        own, at = np.unique(doc, return_inverse=True)
-        sums = np.bincount(at, value)
-        one = _partial(own, sums, np.zeros(len(own), np.int64), np.zeros(len(own), np.int64))
-        some = np.flatnonzero(rare)
-        two = _partial(doc[some], np.zeros(len(some)), word[some].view(np.int64), sign[some].astype(np.int64))
-        return pd.concat([one, two])
+            names.append(np.append(key >> _RANK, u))
+            values.append(np.append(key & np.uint64((1 << 24) - 1), v))
+        if docs:
+            doc, u, v = (np.concatenate(x) for x in (docs, names, values))
+            _, which, counts = np.unique(pair_hash(u, v), return_inverse=True, return_counts=True)
+            c = counts[which]
+            seen = c >= s.least
+            word, sign = np.where(seen, u, v), np.where(seen, -1, 1)
+            value = np.where(seen, np.log(c), s.floor)
+            rare = word >= _RARE
+            value[~rare] += sign[~rare] * s.word_logs[word[~rare].astype(np.int64)]
+            own, at = np.unique(doc, return_inverse=True)
+            out.append(pd.DataFrame({"key": own, "value": np.bincount(at, value), "word": _spread(own), "n": np.zeros(len(own), np.int64)}))
+            some = np.flatnonzero(rare)
+            out.append(pd.DataFrame({"key": doc[some], "value": np.zeros(len(some)), "word": word[some].view(np.int64), "n": sign[some]}))
+        return pd.concat(out).astype({"n": "int64"})
 
     return joined
 
 
-def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of bucket -1 as partial results."""
-    for batch in batches:
-        for docs, value, hard, words in zip(*[batch.column(c).to_pylist() for c in ("docs", "at", "key", "rare_u")]):
-            docs, hard = np.frombuffer(docs, np.int64), np.frombuffer(hard, np.int64)
-            words = np.frombuffer(words, np.uint64) | np.uint64(1 << 63)
-            zero = np.zeros(len(docs), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([docs, hard])),
-                    pa.array(np.concatenate([np.frombuffer(value, np.float64), np.full(len(hard), np.nan)])),
-                    pa.array(np.concatenate([zero, words.view(np.int64)])),
-                    pa.array(np.concatenate([zero, np.ones(len(hard), np.int64)])),
-                ],
-                names=["key", "value", "word", "n"],
-            )
-
-
-def _sorted(rows: list, column: str, kind=np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.array([r[column] for r in rows], np.int64).view(kind)
-    order = np.argsort(keys)
-    return keys[order], np.array([r["n"] for r in rows], np.int64)[order]
+def _sorted(rows: DataFrame, kind=np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Two number columns of few rows, by the first."""
+    found = rows.toArrow()
+    keys, n = (found.column(c).to_numpy().astype(np.int64) for c in (0, 1))
+    order = np.argsort(keys.view(kind))
+    return keys.view(kind)[order], n[order]
 
 
 def score(
@@ -250,37 +235,29 @@ def score(
         "word-counts",
     )
     total = counts.agg(F.sum("n")).first()[0] or 0
-    # fewer than ``frequent`` words, whatever the corpus: at most a megabyte
-    words, word_counts = _sorted(counts.where(F.col("n") * frequent > total).collect(), "word")
+    # fewer than ``frequent`` words, whatever the corpus: 16 megabytes at most
+    words, word_counts = _sorted(counts.where(F.col("n") * frequent > total))
     hot_words = words[word_counts * hot > total]
     pairs = (
         docs.select("text")
         .mapInArrow(pair_counter(context.broadcast(hot_words)), "pair long, n long")
         .groupBy("pair")
         .agg(F.sum("n").alias("n"))
-        .where((F.col("n") * hot > total) & (F.col("n") >= least))
-        .collect()  # fewer than ``hot`` rows
+        .where((F.col("n") * hot > total) & (F.col("n") >= least))  # fewer than ``hot`` rows
     )
-    numbers, pair_counts = _sorted(pairs, "pair", np.int64)
+    numbers, pair_counts = _sorted(pairs, np.int64)
     hashes = pair_hash(hot_words[numbers // max(len(hot_words), 1)], hot_words[numbers % max(len(hot_words), 1)])
     order = np.argsort(hashes)
     settings = context.broadcast(
         Settings(total, max(1, total // bucket), words, word_counts, hashes[order], pair_counts[order], backoff, least)
     )
     keyed = docs.select(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(1)).alias("key"), "text")
-    dealt = stored(keyed.mapInArrow(dealer(settings), DEALT), "dealt-pairs")
-    found = stored(
-        dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(bucket_joiner(settings), PARTIAL)
-        .unionByName(dealt.where("bucket < 0").mapInArrow(unpack, PARTIAL)),
-        "pair-scores",
-    )
-    floor = float(np.log(backoff) - np.log(max(total, 1)))
-    open_ = found.where("n != 0").groupBy("word", "key").agg(
-        F.sum("n").alias("n"), F.count(F.when(F.isnan("value"), 1)).alias("firsts")
-    )
-    # words lose their top bit where they were packed
+    dealt = keyed.mapInArrow(dealer(settings), DEALT)
+    found = stored(dealt.groupBy("bucket").applyInPandas(bucket_joiner(settings), PARTIAL), "pair-scores")
+    # rare words are known by 63 bits of their hash
     logs = counts.select(F.col("word").bitwiseOR(F.lit(-(1 << 63))).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("c"))
-    late = open_.join(logs, "word").select("key", (F.col("n") * F.log("c") + F.col("firsts") * floor).alias("value"))
+    late = found.where("n != 0").groupBy("word", "key").agg(F.sum("n").alias("n"), F.sum("value").alias("value"))
+    late = late.join(logs, "word").select("key", (F.col("value") + F.col("n") * F.log("c")).alias("value"))
     sums = (
         found.where("n = 0").select("key", "value").union(late).groupBy("key").agg(F.sum("value").alias("value"))
     )

@@ -44,7 +44,7 @@ def test_scores_equal_plain_counts(spark):
     same(queries.op10_lm_scoring(spark, MEDIUM).collect(), plain_scores(docs))
 
 
-@pytest.mark.parametrize("frequent,hot,bucket", [(65_536, 4_096, 1_000_000), (50, 20, 100), (4, 2, 1000), (65_536, 30, 7)])
+@pytest.mark.parametrize("frequent,hot,bucket", [(1 << 20, 4_096, 1_000_000), (50, 20, 100), (4, 2, 1000), (65_536, 30, 7)])
 def test_scores_in_hard_cases(spark, frequent, hot, bucket):
     texts = ["a b a b a b c", "", None, "  x ", "a b " * 500, "one", "one two one two", "é\x0bé é", "a b a b a b c"]
     rows = [(i % 8, t, "en", "s", 1) for i, t in enumerate(texts)] + [(None, "a b q", "en", "s", 1)] * 2
