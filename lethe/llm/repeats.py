@@ -5,7 +5,8 @@ bytes (the first one among equals), which depends on its bytes alone, so equal w
 Neighbouring windows with the same anchor form a segment. Only segments whose anchor occurs at two places can
 hold a repeated window; the texts' other parts are left out, and equal segments are held once.
 
-*Merging Burrows-Wheeler transforms.* The segments of an anchor meet in a task, many anchors to a task. The
+*Merging Burrows-Wheeler transforms.* The segments of an anchor meet in a task, many anchors to a task;
+those that share neither the bytes before the anchor nor those after it with another are left out. The
 alphabet are grams of ``STEP`` bytes, so a segment is ``STEP`` strings over it, one for each remainder of
 the place, and a window is its first ``LENGTH / STEP`` symbols. Shards of segments get a suffix array and a transform each. The
 transforms are merged by refining an interleave: starting with the shards one after the other, each round reads the
@@ -31,7 +32,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lethe.llm.frames import pick, ship, stored
@@ -72,10 +73,10 @@ def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 
 def segments(offsets: np.ndarray, data: np.ndarray, k: int, length: int) -> tuple[np.ndarray, ...]:
-    """(text, start in the text, windows, anchor) of the segments of all texts."""
+    """(text, start in the text, windows, anchor, anchor's place in ``data``) of the segments of all texts."""
     n = len(data) - length + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
     hashes = gram_hashes(data, k)
     if len(data) >= 1 << _PLACE_BITS:  # a very long text: hash and place do not fit one number
         least = _least_places(hashes, length - k + 1)
@@ -90,7 +91,7 @@ def segments(offsets: np.ndarray, data: np.ndarray, k: int, length: int) -> tupl
     begins[1:] &= (least[1:] != least[:-1]) | (text[1:] != text[:-1]) | ~valid[:-1]
     start = np.flatnonzero(begins)
     ends = np.flatnonzero(valid & ~np.append(valid[1:] & ~begins[1:], False)) + 1
-    return text[start], start - offsets[text[start]], ends - start, hashes[least[start]]
+    return text[start], start - offsets[text[start]], ends - start, hashes[least[start]], least[start]
 
 
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -192,7 +193,13 @@ def merger(length: int):
 
 # --- tables ----------------------------------------------------------------------------------
 
-ROWS = "o1 long, o2 long, start long, anchor long, s1 long, s2 long, part binary"
+ROWS = "o1 long, o2 long, start long, anchor long, s1 long, s2 long, left long, right long, part binary"
+
+
+def _side(hashes: np.ndarray, at: np.ndarray, valid: np.ndarray) -> pa.Array:
+    values = np.zeros(len(at), np.uint64)
+    values[valid] = hashes[at[valid]]
+    return pa.array(values.view(np.int64), mask=~valid)
 
 
 def cutter(k: int, length: int):
@@ -202,7 +209,7 @@ def cutter(k: int, length: int):
         for batch in batches:
             for row, offsets, data in sliced(batch.column(3), _SLICE):
                 n = len(offsets) - 1
-                text, start, windows, anchor = segments(offsets, data, k, length)
+                text, start, windows, anchor, spot = segments(offsets, data, k, length)
                 if batch.num_columns > 4:
                     wanted = batch.column(4).slice(row, n)
                     at = np.append(0, np.cumsum(wanted.value_lengths().to_numpy(zero_copy_only=False)))
@@ -212,10 +219,15 @@ def cutter(k: int, length: int):
                     for i in range(n):
                         mine = slice(bounds[i], bounds[i + 1])
                         keep[mine] = np.isin(anchor[mine], values[at[i] : at[i + 1]])
-                    text, start, windows, anchor = (x[keep] for x in (text, start, windows, anchor))
+                    text, start, windows, anchor, spot = (x[keep] for x in (text, start, windows, anchor, spot))
                 o1, o2, base = (batch.column(c).slice(row, n).to_numpy(zero_copy_only=False) for c in range(3))
                 begin = offsets[text] + start
                 end = begin + windows + length - 1
+                # of a window's bytes beside the anchor at least half lie on one side of it
+                half = (length - k + 1) // 2
+                wide = gram_hashes(data, k + half)
+                left = _side(wide, spot - half, spot - half >= begin)
+                right = _side(wide, spot, spot + k + half <= end)
                 for i in range(0, len(text), 20_000):
                     j = slice(i, i + 20_000)
                     parts = [data[a:b].tobytes() for a, b in zip(begin[j], end[j])]
@@ -224,9 +236,10 @@ def cutter(k: int, length: int):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(o1[text[j]]), pa.array(o2[text[j]]), pa.array(base[text[j]] + start[j]),
-                            pa.array(anchor[j].view(np.int64)), pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), pa.array(parts, pa.binary()),
+                            pa.array(anchor[j].view(np.int64)), pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()),
+                            left[j], right[j], pa.array(parts, pa.binary()),
                         ],
-                        names=["o1", "o2", "start", "anchor", "s1", "s2", "part"],
+                        names=["o1", "o2", "start", "anchor", "s1", "s2", "left", "right", "part"],
                     )
 
     return cut
@@ -238,7 +251,7 @@ def anchor_finder(k: int, length: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, offsets, data in sliced(batch.column(2), _SLICE):
-                text, start, _, anchor = segments(offsets, data, k, length)
+                text, start, _, anchor, _ = segments(offsets, data, k, length)
                 k1, k2 = (batch.column(c).slice(row, len(offsets) - 1).to_numpy(zero_copy_only=False)[text] for c in (0, 1))
                 mark = mix(k1.view(np.uint64) + mix(start.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
@@ -252,7 +265,7 @@ def anchor_finder(k: int, length: int):
 def repeated_places(rows: DataFrame, length: int = LENGTH, grams=GRAMS, most: int = MOST) -> DataFrame:
     """(o1, o2, at, n): runs of repeated windows in the owners of ``rows`` (as ROWS; stored)."""
     different = stored(
-        rows.groupBy("anchor", "s1", "s2").agg(F.first("part").alias("part"), F.count(F.lit(1)).alias("owners")), "segments"
+        rows.groupBy("anchor", "s1", "s2").agg(*[F.first(c).alias(c) for c in ("part", "left", "right")], F.count(F.lit(1)).alias("owners")), "segments"
     )
     sizes = stored(
         different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("part")).alias("bytes")).where("n > 1"),
@@ -262,10 +275,14 @@ def repeated_places(rows: DataFrame, length: int = LENGTH, grams=GRAMS, most: in
     few = sizes if last else sizes.where(F.col("n") <= most)
     total = few.agg(F.sum("bytes")).first()[0] or 0
     tasks = max(1, -(-total // TASK_BYTES))
+    # segments with a common window also share the anchor with half of the bytes beside it
+    close = different.join(few.select("anchor"), "anchor", "left_semi").repartition(tasks, "anchor")
+    for side in ("left", "right"):
+        alike = F.count(side).over(Window.partitionBy("anchor", side))
+        close = close.withColumn(f"{side}s", alike)
     found = [
         different.where("owners > 1").select("s1", "s2", F.lit(0).cast("long").alias("at"), (F.octet_length("part") - length + 1).cast("long").alias("n")),
-        different.join(few.select("anchor"), "anchor", "left_semi")
-        .repartition(tasks, "anchor")
+        close.where("lefts > 1 or rights > 1")
         .select("s1", "s2", "part")
         .mapInArrow(merger(length), "s1 long, s2 long, at long, n long"),
     ]
