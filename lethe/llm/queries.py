@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from lethe.llm import chat, contamination, lines, ngram_lm, pieces, quality, repeats, secrets, simhash, token_counts
 from lethe.llm.frames import pick, table
+from lethe.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -102,4 +105,3 @@ QUERIES = {
         op10_lm_scoring,
     )
 }
-ORACLE: dict[str, str] = {}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lethe.llm import chat, quality, queries, secrets, token_counts
 from lethe.llm.frames import table
 from tests.conftest import SMALL
+from tests.test_queries import database, table_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -208,6 +209,15 @@ def test_chat_layouts_by_fingerprint(spark):
         chat.canonical_turns(df)
 
 
+def test_chat_query_equals_sql(spark):
+    found = queries.op6_chat_formatting(spark, SMALL)
+    result = database(SMALL).execute(queries.ORACLE["op6_chat_formatting"])
+    expected = table_of([c[0] for c in result.description], result.fetchall())
+    assert table_of(found.columns, [tuple(r) for r in found.collect()]) == expected
+    own = {r["conv_id"]: r for r in found.collect()}[-7]
+    assert own["n_turns"] == 2 and own["loss_sha256"] == digest(queries.CONTROL_TEXT)
+
+
 def test_chat_of_an_empty_table(spark):
     assert chat.render(chat.canonical_turns(spark.createDataFrame([], CHAT))).collect() == []
 
