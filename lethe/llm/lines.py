@@ -4,10 +4,11 @@
 within ``errors`` edits, a segment of the shorter one stands in the longer one, at most a few characters off.
 The index holds (length, segment number, segment) of each line; a line probes it, for each
 length it may meet, with the substrings that the multi-match-aware selection leaves (12 in all for two
-errors). Pairs that share an entry are verified by edit distance.
+errors). Pairs that share an entry, and whose counts of ten letters allow it, are verified by edit distance.
 
 *Verification.* Banded bit-parallel: a column of the edit matrix is held as two numbers of ``2 * errors + 1``
 bits, the vertical differences around the diagonal, and is advanced with a few bit operations for each character.
+What both lines begin and end with is cut off first, and a pair over the limit is not followed further.
 
 *Frequent segments.* Index entries with more than ``hot`` lines are not paired. Their lines are joined again by the
 rest of the line around the segment: the rests too are within ``errors`` edits, so the same join holds for them,
@@ -47,159 +48,243 @@ def edit_distance(a: Column, b: Column, errors: int) -> Column:
     mask = (1 << width) - 1
     one, top = F.lit(1).cast("long"), F.lit(1 << (width - 1)).cast("long")
 
-    def bits(long: Column, short: Column) -> Column:
-        """For each character of the short text, where around its place the long one has it."""
-
-        def at(c: Column, j: Column) -> Column:
-            parts = [
-                F.when(F.get(long, j - errors + t).eqNullSafe(c), F.lit(1 << t)).otherwise(0) for t in range(width)
-            ]
-            return reduce(lambda x, y: x + y, parts).cast("long")
-
-        return F.transform(short, at)
-
     def scan(long: Column, short: Column) -> Column:
         more = F.size(long) - F.size(short)
         # rows up to 0 rise by one with each column, so they count down; rows below count up
         low = (1 << (errors + 1)) - 1
         begin = F.struct(
-            F.lit(mask ^ low).cast("long").alias("vp"), F.lit(low).cast("long").alias("vn"), more.alias("score")
+            F.lit(mask ^ low).cast("long").alias("vp"),
+            F.lit(low).cast("long").alias("vn"),
+            more.alias("score"),
+            F.lit(0).alias("j"),
         )
 
-        def step(state: Column, x: Column) -> Column:
-            vp = F.shiftrightunsigned(state["vp"], 1).bitwiseOR(top)
-            vn = F.shiftrightunsigned(state["vn"], 1)
+        def step(state: Column, c: Column) -> Column:
+            def at(t: int) -> Column:
+                same = F.get(long, state["j"] - errors + t).eqNullSafe(c)
+                return F.when(same, F.lit(1 << t).cast("long")).otherwise(F.lit(0).cast("long"))
 
             def advance(v: Column) -> Column:
-                sums = (x.bitwiseAND(v["p"]) + v["p"]).bitwiseXOR(v["p"])
-                return let(
-                    F.struct(v["p"].alias("p"), v["n"].alias("n"), sums.bitwiseOR(x).bitwiseOR(v["n"]).alias("d")), columns
-                )
+                sums = (v["x"].bitwiseAND(v["p"]) + v["p"]).bitwiseXOR(v["p"])
+                d = sums.bitwiseOR(v["x"]).bitwiseOR(v["n"])
+                return let(F.struct(v["p"].alias("p"), v["n"].alias("n"), d.alias("d")), columns)
 
             def columns(v: Column) -> Column:
                 up = v["n"].bitwiseOR(F.bitwise_not(v["d"].bitwiseOR(v["p"])))
-                return let(
-                    F.struct(
-                        v["d"].alias("d"),
-                        F.shiftleft(up, 1).bitwiseOR(one).alias("hp"),
-                        F.shiftleft(v["d"].bitwiseAND(v["p"]), 1).alias("hn"),
-                    ),
-                    moved,
-                )
+                hp = F.shiftleft(up, 1).bitwiseOR(one)
+                hn = F.shiftleft(v["d"].bitwiseAND(v["p"]), 1)
+                return let(F.struct(v["d"].alias("d"), hp.alias("hp"), hn.alias("hn")), moved)
 
             def moved(v: Column) -> Column:
                 vp = v["hn"].bitwiseOR(F.bitwise_not(v["d"].bitwiseOR(v["hp"]))).bitwiseAND(F.lit(mask).cast("long"))
                 vn = v["d"].bitwiseAND(v["hp"]).bitwiseAND(F.lit(mask).cast("long"))
                 same = F.call_function("shiftrightunsigned", v["d"], (more + errors).cast("int")).bitwiseAND(one)
-                return F.struct(vp.alias("vp"), vn.alias("vn"), (state["score"] + 1 - same.cast("int")).alias("score"))
+                return F.struct(
+                    vp.alias("vp"),
+                    vn.alias("vn"),
+                    (state["score"] + 1 - same.cast("int")).alias("score"),
+                    (state["j"] + 1).alias("j"),
+                )
 
-            return let(F.struct(vp.alias("p"), vn.alias("n")), advance)
+            x = reduce(lambda p, q: p + q, [at(t) for t in range(width)])
+            vp = F.shiftrightunsigned(state["vp"], 1).bitwiseOR(top)
+            vn = F.shiftrightunsigned(state["vn"], 1)
+            # distances never fall along a diagonal, so beyond the limit nothing is left to find
+            return F.when(state["score"] > errors, state).otherwise(
+                let(F.struct(x.alias("x"), vp.alias("p"), vn.alias("n")), advance)
+            )
 
-        found = F.aggregate(let(F.struct(long.alias("l"), short.alias("s")), lambda t: bits(t["l"], t["s"])), begin, step, lambda s: s["score"])
+        found = F.aggregate(short, begin, step, lambda s: s["score"])
         return F.when(more > errors, errors + 1).otherwise(F.least(found, F.lit(errors + 1)))
 
     def chars(text: Column) -> Column:
         return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
+    def shared(long: Column, short: Column) -> Column:
+        """Equal characters at the begin."""
+        same = F.zip_with(short, F.slice(long, 1, F.size(short)), lambda x, y: x == y)
+        return let(F.array_position(same, False), lambda p: F.when(p > 0, p - 1).otherwise(F.size(short)).cast("int"))
+
+    def cut(t: Column) -> Column:
+        """Without what both begin with; reversed, so that the next cut takes the ends."""
+        return let(
+            shared(t["long"], t["short"]),
+            lambda p: F.struct(
+                F.reverse(F.slice(t["long"], p + 1, F.size(t["long"]))).alias("long"),
+                F.reverse(F.slice(t["short"], p + 1, F.size(t["short"]))).alias("short"),
+            ),
+        )
+
     first = F.length(a) >= F.length(b)
     ordered = F.struct(
         chars(F.when(first, a).otherwise(b)).alias("long"), chars(F.when(first, b).otherwise(a)).alias("short")
     )
-    return let(ordered, lambda t: scan(t["long"], t["short"]))
+    return let(ordered, lambda t: let(cut(t), lambda u: let(cut(u), lambda w: scan(w["long"], w["short"]))))
 
 
 # --- candidates ------------------------------------------------------------------------------
 
 
 def _segment(length: Column, i: int, errors: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i``: even, the longer ones last."""
-    short = F.floor(length / (errors + 1)).cast("int")
-    longer = errors + 1 - (length % (errors + 1)).cast("int")  # the first longer one
-    return short * i + F.greatest(F.lit(0), i - longer), short + (i >= longer).cast("int")
+    """Start (from 0) and length of segment ``i`` of ``errors + 1`` even ones."""
+    at = [F.call_function("div", length * k, F.lit(errors + 1)).cast("int") for k in (i, i + 1)]
+    return at[0], at[1] - at[0]
 
 
-def _probes(errors: int, i: int, delta: int) -> range:
-    """Offsets of the substrings to try for segment ``i`` of a line shorter by ``delta``."""
+def _offsets(errors: int, i: int, delta: int) -> range:
+    """Where segment ``i`` of a line shorter by ``delta`` may stand in a longer one, from its own place."""
     left, right = i, errors - i
     return range(max(-left, delta - right), min(left, delta + right) + 1)
 
 
-def _entries(rows: DataFrame, errors: int, probing: bool) -> DataFrame:
-    """(id, text, key, d, at, size) of rows (id, below, text, delta): index entries or probes.
-
-    A probe's ``d`` is how much shorter the indexed line is. Rows with a delta probe for that only.
-    """
-    made = []
-    for delta in range(errors + 1) if probing else [0]:
-        for i in range(errors + 1):
-            start, size = _segment(F.col("n") - delta, i, errors)
-            for o in _probes(errors, i, delta) if probing else [0]:
-                at = start + o
-                key = F.xxhash64(F.col("below"), F.col("n") - delta, F.lit(i), F.substring(F.col("text"), at + 1, size))
-                entry = F.struct(key.alias("key"), F.lit(delta).alias("d"), at.alias("at"), size.alias("size"))
-                fits = (at >= 0) & (at + size <= F.col("n"))
-                if probing:
-                    fits = fits & (F.col("delta").isNull() | (F.col("delta") == delta))
-                made.append(F.when(fits, entry))
-    return (
-        rows.withColumn("n", F.length("text"))
-        .select("id", "text", F.explode(F.array(*made)).alias("e"))
-        .where("e is not null")
-        .select("id", "text", "e.*")
+def _probes(errors: int) -> list[tuple[int, int, int]]:
+    """(delta, segment, offset) of all substrings to try, without the line's own index entries."""
+    own = [(0, i, 0) for i in range(errors + 1)]
+    return [
+        p
+        for delta in range(errors + 1)
+        for i in range(errors + 1)
+        for p in ((delta, i, o) for o in _offsets(errors, i, delta))
+        if p not in own
+    ]
+
+
+def _entries(rows: DataFrame, errors: int, places: list[tuple[int, int, int]], *kept: str) -> DataFrame:
+    """(id, kept, key, number) of rows (id, below, text, ...): one key for each of ``places``."""
+    n = F.col("__n")
+    keys = []
+    for delta, i, offset in places:
+        start, size = _segment(n - delta, i, errors)
+        part = F.substring(F.col("text"), start + (offset + 1), size)
+        keys.append(F.xxhash64(F.col("below"), n - delta, F.lit(i), part))
+    return rows.withColumn("__n", F.length("text")).select(
+        "id", *kept, F.posexplode(F.array(*keys)).alias("number", "key")
     )
 
 
+def _of_place(places: list[tuple[int, int, int]], k: int) -> Column:
+    return F.get(F.array(*[F.lit(p[k]) for p in places]), F.col("number"))
+
+
+def _rest(places: list[tuple[int, int, int]], errors: int) -> Column:
+    """The text without the substring of its key."""
+    n = F.length("text") - _of_place(places, 0)
+    i = _of_place(places, 1)
+    at = [F.call_function("div", n * (i + k), F.lit(errors + 1)).cast("int") for k in (0, 1)]
+    start = F.greatest(at[0] + _of_place(places, 2), F.lit(0))
+    whole = F.length("text")
+    return F.concat(F.substring("text", F.lit(1), start), F.substring(F.col("text"), start + (at[1] - at[0]) + 1, whole))
+
+
+#: Letters whose counts are compared first: an edit changes them by two in all at most.
+LETTERS = "etanrisohd"
+
+
+def letter_counts(text: Column) -> Column:
+    """How often each of ``LETTERS`` occurs, modulo 64, in six bits each."""
+    total = F.lit(0).cast("long")
+    for k, letter in enumerate(LETTERS):
+        n = (F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))).cast("long")
+        total = total + F.shiftleft(n.bitwiseAND(F.lit(63).cast("long")), 6 * k)
+    return total
+
+
+def may_be_close(a: Column, b: Column, errors: int) -> Column:
+    """What holds for the letter counts of any two lines within the errors."""
+    apart = F.lit(0).cast("long")
+    mask = F.lit(63).cast("long")
+    for k in range(len(LETTERS)):
+        x, y = (F.shiftright(c, 6 * k).bitwiseAND(mask) for c in (a, b))
+        differ = F.abs(x - y)
+        apart = apart + F.least(differ, 64 - differ)
+    return apart <= 2 * errors
+
+
 def candidates(lines: DataFrame, errors: int = ERRORS, hot: int = HOT) -> DataFrame:
     """(a, b), a being indexed and b probing: pairs of ``lines`` (id, text) that share an index entry."""
-    index = lines.select("id", "text", F.lit(0).cast("long").alias("below"), F.lit(None).cast("int").alias("delta"))
-    probing, found = index, []
+    own, more = [(0, i, 0) for i in range(errors + 1)], _probes(errors)
+    index = lines.select(
+        "id",
+        "text",
+        F.lit(0).cast("long").alias("below"),
+        F.lit(None).cast("int").alias("delta"),
+        letter_counts(F.col("text")).alias("letters"),
+    )
+    close = may_be_close(F.col("la"), F.col("lb"), errors)
+    probing, found, first = index, [], True
     while True:
-        held = _entries(index, errors, False)
-        tried = _entries(probing, errors, True)
+        held = _entries(index, errors, own, "letters")
+        if first:  # the same lines probe: their own entries are probes of delta 0
+            held = stored(held, "line-index")
+            tried = _entries(probing, errors, more, "letters")
+            probes = [
+                held.select("key", "id", "letters", F.lit(0).alias("d")),
+                tried.select("key", "id", "letters", _of_place(more, 0).alias("d")),
+            ]
+        else:
+            tried = _entries(probing, errors, own + more, "delta", "letters").where(_of_place(own + more, 0) == F.col("delta"))
+            probes = [tried.select("key", "id", "letters", F.col("delta").alias("d"))]
         frequent = stored(
             held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("key"), "frequent-segments"
         )
-        # fewer entries than lines / hot; the join below is by key like all others
         some = not frequent.isEmpty()
-        pairs = [
-            held.select("key", F.col("id").alias("a")),
-            tried.select("key", F.col("id").alias("b"), "d"),
+        sides = [
+            held.select("key", F.col("id").alias("a"), F.col("letters").alias("la")),
+            reduce(DataFrame.union, probes).withColumnsRenamed({"id": "b", "letters": "lb"}),
         ]
         if some:
-            pairs = [p.join(frequent, "key", "left_anti") for p in pairs]
-        joined = pairs[0].join(pairs[1], "key")
-        found.append(joined.where((F.col("d") > 0) | (F.col("a") < F.col("b"))).select("a", "b"))
+            sides = [side.join(frequent, "key", "left_anti") for side in sides]
+        joined = sides[0].join(sides[1], "key")
+        found.append(joined.where(((F.col("d") > 0) | (F.col("a") < F.col("b"))) & close).select("a", "b"))
         if not some:
             break
-        rest = F.concat(F.substring("text", F.lit(1), F.col("at")), F.substring(F.col("text"), F.col("at") + F.col("size") + 1, F.length("text")))
 
-        def again(rows: DataFrame, delta: Column, label: str) -> DataFrame:
+        def again(rows: DataFrame, places: list[tuple[int, int, int]], delta: Column, label: str) -> DataFrame:
+            under = _entries(rows, errors, places, "text", "delta", "letters").withColumn("d", delta)
+            under = under if first else under.where(F.col("d").eqNullSafe(F.col("delta")) | F.lit(places is own))
             return stored(
-                rows.join(frequent, "key", "left_semi").select(
-                    "id", rest.alias("text"), F.col("key").alias("below"), delta.cast("int").alias("delta")
+                under.join(frequent, "key", "left_semi").select(
+                    "id",
+                    _rest(places, errors).alias("text"),
+                    F.col("key").alias("below"),
+                    F.col("d").cast("int").alias("delta"),
+                    "letters",
                 ),
                 label,
             )
 
-        index = again(held, F.lit(None), "frequent-held")
-        probing = again(tried, F.col("d"), "frequent-tried")
+        every = own + more
+        probing = again(probing, every, _of_place(every, 0), "frequent-tried")
+        index = again(index, own, F.lit(None).cast("int"), "frequent-held")
+        first = False
         brief = F.length("text") <= errors  # no room for segments: what is left to differ is that short
+        short = F.length("text") - F.col("delta") <= errors
         ends = [
-            index.where(brief).select("below", F.col("id").alias("a")),
-            probing.where(F.length("text") - F.col("delta") <= errors).select("below", F.col("id").alias("b"), "delta"),
+            index.where(brief).select("below", F.col("id").alias("a"), F.col("letters").alias("la")),
+            probing.where(short).select("below", F.col("id").alias("b"), "delta", F.col("letters").alias("lb")),
         ]
-        last = ends[0].join(ends[1], "below").where((F.col("delta") > 0) | (F.col("a") < F.col("b")))
+        last = ends[0].join(ends[1], "below").where(
+            ((F.col("delta") > 0) | (F.col("a") < F.col("b"))) & close
+        )
         found.append(last.select("a", "b"))
-        index = index.where(~brief)
-        probing = probing.where(F.length("text") - F.col("delta") > errors)
+        index, probing = index.where(~brief), probing.where(~short)
     return reduce(DataFrame.union, found).distinct()
 
 
+#: Identifiers sent to all tasks at most (some 32 bytes each); more are joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
+def _of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with these ids. Few ids are broadcast, so that the texts need not move."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def line_links(lines: DataFrame, errors: int = ERRORS, hot: int = HOT) -> DataFrame:
     """(a, b): pairs of different ``lines`` (id, text) within ``errors`` edits."""
     pairs = stored(candidates(lines, errors, hot), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stored(lines.select("id", "text").join(ids, "id", "left_semi"), "line-texts")
+    texts = stored(_of_ids(lines.select("id", "text"), ids), "line-texts")
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("__a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("__b"))
     checked = pairs.join(a, "a").join(b, "b")
