@@ -35,7 +35,7 @@ from lethe.llm.words import mix, sliced
 
 POWER = 1.0
 SEED = 42
-_SLICE = 6 << 20
+_SLICE = 2 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.uint64(1 << 20)
 
