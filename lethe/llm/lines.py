@@ -17,7 +17,11 @@ in so little are near-copies anyway). So no pair is lost and no large group is p
 
 *Removal.* The first place of a line is its least (doc_id, line number), null ids first. A line is original if
 no line within ``errors`` edits has an earlier first place. Of all places of all lines, the first places of original
-lines stay, all others go. Lines of fewer than ``least_chars`` characters always stay.
+lines stay, all others go. Only lines of fewer than ``least_chars`` characters, by default empty ones, always stay.
+
+*Short lines.* Exact copies go at any length. How many edits link two lines depends on the shorter one: one for each
+``CHARS_AN_EDIT`` characters, ``errors`` at most; two lines of a few characters are never near-copies. Each number of
+edits is a join of its own over the lines of those lengths.
 
 Only DataFrame functions. Defined cases: a null text is empty, and stays as it is where the text is rebuilt; lines
 end at ``\\n``; rows with equal id and text count as the same places, so they lose the same lines; an empty
@@ -34,7 +38,9 @@ from pyspark.sql import functions as F
 from lethe.llm.frames import let, numbered, pick, stored
 
 ERRORS = 2
-LEAST_CHARS = 30
+LEAST_CHARS = 1
+#: Characters of the shorter line for each edit that links it.
+CHARS_AN_EDIT = 15
 #: Lines under one index entry that are paired directly.
 HOT = 512
 
@@ -280,17 +286,36 @@ def _of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def line_links(lines: DataFrame, errors: int = ERRORS, hot: int = HOT) -> DataFrame:
-    """(a, b): pairs of different ``lines`` (id, text) within ``errors`` edits."""
+def line_links(lines: DataFrame, errors: int = ERRORS, hot: int = HOT, under: int | None = None) -> DataFrame:
+    """(a, b): pairs of different ``lines`` (id, text) within ``errors`` edits.
+
+    With ``under`` only pairs whose shorter line has fewer characters than that.
+    """
     pairs = stored(candidates(lines, errors, hot), "line-candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     texts = stored(_of_ids(lines.select("id", "text"), ids), "line-texts")
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("__a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("__b"))
     checked = pairs.join(a, "a").join(b, "b")
+    if under is not None:
+        checked = checked.where(F.least(F.length("__a"), F.length("__b")) < under)
     return checked.where(edit_distance(F.col("__a"), F.col("__b"), errors) <= errors).select("a", "b")
 
 
+def near_links(lines: DataFrame, errors: int = ERRORS, hot: int = HOT) -> DataFrame:
+    """(a, b): pairs of different ``lines`` within ``errors`` edits, and within one for each
+    ``CHARS_AN_EDIT`` characters of the shorter line."""
+    n, found = F.length("text"), []
+    for k in range(1, errors + 1):
+        some = lines.where(n >= k * CHARS_AN_EDIT)
+        if k == errors:
+            found.append(line_links(some, k, hot))
+        else:  # the longer line may have k characters more
+            under = (k + 1) * CHARS_AN_EDIT
+            found.append(line_links(some.where(n < under + k), k, hot, under))
+    return reduce(DataFrame.union, found)
+
+
 # --- removal ---------------------------------------------------------------------------------
 
 
@@ -330,7 +355,7 @@ def duplicate_lines(
     """
     docs = pick(df, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
     lines = different_lines(docs, least_chars)
-    links = stored(line_links(lines.select("id", "text"), errors, hot), "line-links")
+    links = stored(near_links(lines.select("id", "text"), errors, hot), "line-links")
     ends = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(
         links.select(F.col("b").alias("id"), F.col("a").alias("other"))
     )

@@ -125,3 +125,41 @@ def test_line_removal_in_hard_cases(spark):
 def test_lines_of_an_empty_table(spark):
     assert lines.line_report(documents(spark, [])).collect() == []
     assert lines.drop_duplicate_lines(documents(spark, [])).collect() == []
+
+
+def plain_whole_report(docs, errors=lines.ERRORS):
+    """Copies of any length go; one edit links for each 15 characters of the shorter line, ``errors`` at most."""
+    key = lambda p: (p[0] is not None, p[0] or 0, p[1])
+    first = {}
+    for i, t in docs:
+        for no, x in enumerate((t or "").split("\n")):
+            if x:
+                first[x] = min(first.get(x, (i, no)), (i, no), key=key)
+    budget = lambda x, y: min(errors, min(len(x), len(y)) // 15)
+    near = {
+        x: [y for y in first if x != y and abs(len(x) - len(y)) <= budget(x, y) and distance(x, y, errors) <= budget(x, y)]
+        for x in first
+    }
+    gone = {x for x in first if any(key(first[y]) < key(first[x]) for y in near[x])}
+    out = []
+    for i, t in docs:
+        parts = (t or "").split("\n")
+        drop = [no for no, x in enumerate(parts) if x and (x in gone or first[x] != (i, no))]
+        out.append((i, len(parts), len(drop), sum(len(near[x]) for x in parts if x), ",".join(map(str, drop))))
+    return out
+
+
+def test_short_lines(spark):
+    rng = random.Random(5)
+    docs = [
+        (1, "All rights reserved.\n\n}\nab\nLicensed under CC BY-NC 4.0."),
+        (2, "All rights reserved.\n\n{\nac\nLicensed under CC BY-NC 4.0."),
+        (3, "All rights reserved!\n}\nLicensed under CC BY-SA 4.0.\nAll right reserved!\nab"),
+    ]
+    for size in (13, 14, 15, 16, 28, 29, 30, 31):  # around the lengths at which the edits allowed change
+        x = "".join(rng.choice("abcdefgh") for _ in range(size))
+        docs.append((size, "\n".join([x, *[edited(x, k % 4, rng) for k in range(20)]])))
+    found = lines.line_report(documents(spark, [(i, t, "en", "s", 1) for i, t in docs])).collect()
+    got = sorted((*r[:4], ",".join(map(str, r["dropped"]))) for r in found)
+    assert got == sorted(plain_whole_report(docs))
+    assert {r[0]: r[4] for r in got}[2] == "0,4"
