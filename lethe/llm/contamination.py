@@ -17,7 +17,8 @@ without losing any pair over the threshold:
 the words of its question and of its answer (the last sentence; the rest is the question).
 
 The index is made of a block of items of bounded size (``ITEMS``, ``ITEM_BYTES``) and sent to all tasks; a larger
-benchmark takes several passes over the documents. Documents are not shuffled.
+benchmark takes several passes over the documents. Documents are not shuffled. Number of items, holders of
+each term, mean and greatest length are those of the whole benchmark, so results do not depend on the blocks.
 
 Defined cases: null texts are empty and match nothing; items without a word match nothing; items shorter
 than a shingle are one shingle; equal items match alike; repeated rows are reported each; an empty
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.frames import numbered, pick, ship
+from lethe.llm.frames import numbered, pick, ship, stored
 from lethe.llm.words import separators, sliced, words_of
 
 THRESHOLD = 0.6
@@ -86,8 +87,48 @@ class Index:
     longest: int
 
 
-def build_index(rows: list[tuple]) -> Index | None:
-    """From (item_id, text) rows; None if no item has a word."""
+@dataclass
+class Whole:
+    """Of the whole benchmark, whatever block an item is in."""
+
+    items: int  # that have a word
+    mean: float  # words
+    longest: int
+
+
+def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to (row, number of words, sorted different terms); texts without a word are left out."""
+    for batch in batches:
+        keys, sizes, terms = [], [], []
+        for row, w in _terms(batch.column(1)):
+            for k in np.flatnonzero(np.diff(w.first)):
+                keys.append(batch.column(0)[row + int(k)].as_py())
+                sizes.append(int(w.first[k + 1] - w.first[k]))
+                terms.append(np.unique(w.hash[w.first[k] : w.first[k + 1]]).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(terms, pa.list_(pa.int64()))], names=["key", "size", "terms"]
+        )
+
+
+def with_holders(benchmark: DataFrame) -> tuple[DataFrame, Whole]:
+    """(item_id, text, terms, holders): how many items of the benchmark hold each term of an item."""
+    rows = stored(pick(benchmark, "item_id", "text").withColumn("key", F.xxhash64("item_id", F.xxhash64("text"))), "benchmark-items")
+    counted = stored(rows.select("key", "text").mapInArrow(count_terms, "key long, size long, terms array<long>"), "benchmark-terms")
+    n, mean, longest = counted.agg(F.count(F.lit(1)), F.avg("size"), F.max("size")).first()
+    exploded = counted.select("key", F.explode("terms").alias("term"))
+    held = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
+    of_item = (
+        exploded.distinct()
+        .join(held, "term")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("term", "holders")).alias("found"))
+        .select("key", F.col("found.term").alias("terms"), F.col("found.holders").alias("holders"))
+    )
+    return rows.join(of_item, "key").select("item_id", "text", "terms", "holders"), Whole(n, mean or 0.0, longest or 0)
+
+
+def build_index(rows: list[tuple], whole: Whole) -> Index | None:
+    """From (item_id, text, terms, holders) rows; None if no item has a word."""
 
     def words(texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -95,7 +136,9 @@ def build_index(rows: list[tuple]) -> Index | None:
             out += [w.hash[a:b] for a, b in zip(w.first, w.first[1:])]
         return out
 
-    rows = [(i, t or "") for i, t in rows]
+    known, at = np.unique(np.concatenate([np.array(r[2], dtype=np.int64).view(np.uint64) for r in rows]), return_index=True)
+    holders = np.concatenate([np.array(r[3], dtype=np.int64) for r in rows])[at]
+    rows = [(r[0], r[1] or "") for r in rows]
     all_words = words([t for _, t in rows])
     rows = [r for r, w in zip(rows, all_words) if len(w)]
     all_words = [w for w in all_words if len(w)]
@@ -109,9 +152,9 @@ def build_index(rows: list[tuple]) -> Index | None:
     count = np.concatenate([c for _, c in unique]).astype(np.float64)
     item = np.repeat(np.arange(len(rows)), [len(u) for u, _ in unique])
     terms, term = np.unique(term, return_inverse=True)
-    holders = np.bincount(term)
-    idf = np.log1p((len(rows) - holders + 0.5) / (holders + 0.5))
-    impact = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * length[item] / length.mean()))
+    holders = holders[np.searchsorted(known, terms)]
+    idf = np.log1p((whole.items - holders + 0.5) / (holders + 0.5))
+    impact = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * length[item] / whole.mean))
     impact /= np.bincount(item, impact)[item]
     order = np.lexsort((item, term))
     term, item, impact = term[order], item[order], impact[order]
@@ -122,7 +165,7 @@ def build_index(rows: list[tuple]) -> Index | None:
     return Index(
         [i for i, _ in rows], all_words, list(zip(questions, answers)), terms, greatest,
         np.searchsorted(term[begin], np.arange(len(terms) + 1)), item[begin] // BLOCK, np.maximum.reduceat(impact, begin),
-        item_at, item, impact, int(length.max()),
+        item_at, item, impact, whole.longest,
     )
 
 
@@ -226,16 +269,17 @@ def matcher(index, threshold: float):
 
 
 def _indexes(benchmark: DataFrame, items: int, item_bytes: int) -> Iterator[Index]:
+    found, whole = with_holders(benchmark)
     rows, held = [], 0
-    for r in pick(benchmark, "item_id", "text").orderBy("item_id", "text").toLocalIterator():
+    for r in found.orderBy("item_id", "text").toLocalIterator():
         size = len(r["text"] or "")
         if rows and (len(rows) >= items or held + size > item_bytes):
-            if index := build_index(rows):
+            if index := build_index(rows, whole):
                 yield index
             rows, held = [], 0
-        rows.append((r["item_id"], r["text"]))
+        rows.append((r["item_id"], r["text"], r["terms"], r["holders"]))
         held += size
-    if rows and (index := build_index(rows)):
+    if rows and (index := build_index(rows, whole)):
         yield index
 
 

@@ -93,6 +93,19 @@ def test_leaks_in_hard_cases(spark, items):
     assert sorted(r["doc_id"] for r in kept) == [101, 102, 104, 105, 106]
 
 
+def test_scores_do_not_depend_on_blocks(spark):
+    bench = [(i, f"Which of the towns number{i} has a bridge over the river name{i % 3}? It is town{i} " + "of the north " * (i % 4)) for i in range(10)]
+    bench += [(10, "alone and short"), (3, bench[3][1]), (11, None), (12, " . ")]
+    docs = [(100 + i, f"intro {t} outro") for i, t in bench] + [(200, " and ".join(t or "" for _, t in bench))]
+    docs += [(300 + i, (t or "").replace("bridge", "ford").replace("north", "south")) for i, t in bench]
+    expected = plain_leaks(docs, bench)
+    for items in (20_000, 3, 1):
+        leaks = contamination.find_leaks(documents(spark, [(i, t, "en", "s", 1) for i, t in docs]), spark.createDataFrame(bench, ITEM), items=items)
+        found = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks.collect()}
+        assert found.keys() == expected.keys()
+        assert all(found[k] == pytest.approx(v, abs=1e-6) for k, v in expected.items())
+
+
 def test_leaks_of_empty_tables(spark):
     none, some = spark.createDataFrame([], ITEM), spark.createDataFrame([(1, "a b c")], ITEM)
     assert contamination.find_leaks(documents(spark), none).collect() == []
