@@ -44,7 +44,7 @@ IDENTIFIER = re.compile(
     r"""(?i:\b(?:client_?id|user_?name|user|login|account(?:_?id)?|access_?key_?id|tenant))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""",
     re.ASCII,
 )
-BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,128}(?![A-Za-z0-9+/_=-])")
+BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s\"'<>]+")
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")
 _NAMES = ("client", "user", "login", "account", "access", "tenant")

@@ -98,6 +98,14 @@ def test_secrets_equal_plain_search(spark, tmp_path):
     assert by_id[9021] == by_id[9022] == ""
 
 
+@pytest.mark.parametrize("size", [128, 129, 342, 5_000])
+def test_long_bare_secrets(spark, size):
+    word = (KEY * (size // len(KEY) + 1))[:size]
+    text = f"user = alice at https://db.example.org/x key {word}"
+    row = secrets.scan_secrets(documents(spark, [(1, text, "en", "s", 1)])).collect()[0]
+    assert row["spans"] == f"identifier:0:12,endpoint:16:40,bare:45:{45 + size}" == plain_spans(text)
+
+
 def test_secret_query(spark):
     found = {r["doc_id"]: r for r in queries.op1_secret_scan(spark, SMALL).collect()}
     for r in table(spark, SMALL, "documents").collect():
