@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lethe.llm import chat, contamination, lines, ngram_lm, pieces, quality, repeats, secrets, simhash, token_counts
+from lethe.llm import chat, codes, contamination, lines, minhash, ngram_lm, pieces, quality, repeats, secrets, simhash, token_counts, whitening
 from lethe.llm.frames import pick, table
 from lethe.llm.oracle import ORACLE
 
@@ -90,6 +90,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", F.round("score", 3).alias("score"), F.round("mean", 5).alias("mean"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,5 +115,8 @@ QUERIES = {
         op8_sentencepiece,
         op9_token_counts,
         op10_lm_scoring,
+        op11_embedding_whitening,
+        op12_vector_codes,
+        op13_minhash_near_dedup,
     )
 }
