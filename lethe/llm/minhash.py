@@ -17,9 +17,10 @@ near-copies become one component from a few links each. The second pairs labels
 its window reaches over the copies that are already together. No pair of a group is left out that could still join components.
 
 *Verification*: a pair is dropped early only by what its links cannot have: sizes whose ratio excludes the similarity, or signatures that
-agree in far fewer bytes than similar sets do (4.5 standard deviations below). All others are compared on the full sets.
+agree in far fewer bytes than similar sets do (4 standard deviations below). All others are compared on the full sets.
 
-Recall: a pair with similarity 0.8 shares no prefix in any order with probability (1 - 0.8^4)^20 = 3e-5.
+Recall: a pair with similarity 0.8 shares no prefix in any order with probability (1 - 0.8^4)^20 = 3e-5, and has a signature that
+is dropped early with 3e-5. In a region wider than the window a text whose only partners stand elsewhere can be missed.
 
 Defined cases: null and empty texts, and texts without words, are linked with nothing, their component is their own id;
 ``component_id`` is the least id in reach, nulls aside (null if the component has null ids only); ``kept`` compares null ids as
@@ -40,15 +41,19 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from lethe.llm.frames import pick, ship, stored
 from lethe.llm.simhash import components
 from lethe.llm.words import mix, separators, sliced, words_of
+from lethe.operators.lookup import lookup_join
+from lethe.settings import Limits
 
 SHINGLE = 2
 #: Links have at least this many hundredths of their union in common.
 PERCENT = 80
 HASHES, DEPTH = 80, 4
 #: Labels after its own that a label is paired with, in regions with more of them.
-WINDOW = 64
+WINDOW = 32
 #: The first pass: every so many orders, and neighbours in each.
-FIRST_STEP, FIRST_WINDOW = 5, 1
+FIRST_STEP, FIRST_WINDOW = 2, 1
+#: Identifiers sent to all tasks at most (8 bytes each); more are joined by shuffle.
+BROADCAST_IDS = 500_000
 _BYTES = 6  # of a shingle's hash, within a pair
 _rng = np.random.default_rng(13)
 _FUNCTIONS = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,9 +142,9 @@ def shingle_sets(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def least_agreeing(percent: int, hashes: int = HASHES) -> int:
-    """Signature bytes that sets of this similarity share at least, but for 4.5 standard deviations."""
+    """Signature bytes that sets of this similarity share at least, but for 4 standard deviations."""
     p = percent / 100
-    return int(np.floor(hashes * p - 4.5 * np.sqrt(hashes * p * (1 - p))))
+    return int(np.floor(hashes * p - 4 * np.sqrt(hashes * p * (1 - p))))
 
 
 def _neighbours(tree, labels, ids, sizes, groups, skip: int, window: int, percent: int):
@@ -277,8 +282,9 @@ def _compare(percent: int):
 def verified(pairs: DataFrame, hashes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose sets, from ``hashes`` (id, hashes), are similar enough; stored."""
     pairs = stored(pairs, "similar-candidates")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    some = stored(hashes.join(ids, "id", "left_semi"), "candidate-sets")
+    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "candidate-ids")
+    few = ids.count() <= BROADCAST_IDS
+    some = stored(hashes.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "candidate-sets")
     x, y = (some.select(F.col("id").alias(k), F.col("hashes").alias(f"{k}_set")) for k in ("a", "b"))
     joined = pairs.join(x, "a").join(y, "b").select("a", "b", "a_set", "b_set")
     return stored(joined.mapInArrow(_compare(percent), "a long, b long"), "similar-links")
@@ -313,11 +319,15 @@ def near_duplicates(
     )
     last = stored(components(across), "last-components").withColumnRenamed("vertex", "component")
     named = stored(
-        together.join(last, "component", "left").select("id", F.coalesce("root", "component").alias("root")), "set-components"
+        lookup_join(together.select("id", "component"), last, ["component"], "left", Limits()).select(
+            "id", F.coalesce("root", "component").alias("root")
+        ),
+        "set-components",
     )
-    by_set = sets.select("id", "low", "high", F.col("n").alias("n_shingles"), "least_id").join(named, "id")
-    least = by_set.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = stored(by_set.join(least, "root").select("low", "high", "n_shingles", "component_id"), "set-classes")
+    by_set = stored(sets.select("id", "low", "high", F.col("n").alias("n_shingles"), "least_id").join(named, "id"), "sets-by-root")
+    least = stored(by_set.groupBy("root").agg(F.min("least_id").alias("component_id")), "least-of-components")
+    joined = lookup_join(by_set, least, ["root"], "inner", Limits())
+    classes = stored(joined.select("low", "high", "n_shingles", "component_id"), "set-classes")
     linked = some.select("doc_id", "n_shingles", "low", "high").join(classes, ["low", "high", "n_shingles"])
     empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return (
