@@ -17,7 +17,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stood earlier in the corpus, up to two edits."""
+    """All documents, without lines that stood earlier in the corpus, up to one edit for each 15
+    characters and two at most."""
     return lines.drop_duplicate_lines(docs)
 
 

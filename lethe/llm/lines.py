@@ -190,7 +190,7 @@ def letter_counts(text: Column) -> Column:
     """How often each of ``LETTERS`` occurs, modulo 64, in six bits each."""
     total = F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
-        n = (F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))).cast("long")
+        n = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(letter), F.lit("")))).cast("long")
         total = total + F.shiftleft(n.bitwiseAND(F.lit(63).cast("long")), 6 * k)
     return total
 
@@ -207,14 +207,18 @@ def may_be_close(a: Column, b: Column, errors: int) -> Column:
 
 
 def candidates(lines: DataFrame, errors: int = ERRORS, hot: int = HOT) -> DataFrame:
-    """(a, b), a being indexed and b probing: pairs of ``lines`` (id, text) that share an index entry."""
+    """(a, b), a being indexed and b probing: pairs of ``lines`` (id, text) that share an index entry.
+
+    A column ``letters`` of ``lines`` is taken as the letter counts.
+    """
+    known = "letters" in lines.columns
     own, more = [(0, i, 0) for i in range(errors + 1)], _probes(errors)
     index = lines.select(
         "id",
         "text",
         F.lit(0).cast("long").alias("below"),
         F.lit(None).cast("int").alias("delta"),
-        letter_counts(F.col("text")).alias("letters"),
+        F.col("letters") if known else letter_counts(F.col("text")).alias("letters"),
     )
     close = may_be_close(F.col("la"), F.col("lb"), errors)
     probing, found, first = index, [], True
@@ -331,7 +335,7 @@ def _places(docs: DataFrame, least_chars: int) -> DataFrame:
 
 
 def different_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """(id, h1, h2, text, place, places) of each different line; stored."""
+    """(id, h1, h2, text, place, places, letters) of each different line; stored."""
     lines = (
         _places(docs, least_chars)
         .groupBy("h1", "h2")
@@ -341,6 +345,7 @@ def different_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFram
             F.first("line").alias("text"),
         )
         .withColumn("id", F.monotonically_increasing_id())
+        .withColumn("letters", letter_counts(F.col("text")))
     )
     return stored(lines, "lines")
 
@@ -355,7 +360,7 @@ def duplicate_lines(
     """
     docs = pick(df, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
     lines = different_lines(docs, least_chars)
-    links = stored(near_links(lines.select("id", "text"), errors, hot), "line-links")
+    links = stored(near_links(lines.select("id", "text", "letters"), errors, hot), "line-links")
     ends = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(
         links.select(F.col("b").alias("id"), F.col("a").alias("other"))
     )

@@ -1,6 +1,7 @@
 """Line dedup against plain edit distances."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,42 +61,43 @@ def test_links_equal_plain(spark, hot, errors):
     assert len(found) == len(set(found)) and set(found) == expected
 
 
-def plain_report(docs, errors=lines.ERRORS, least=lines.LEAST_CHARS):
-    first = {}
+def plain_whole_report(docs, errors=lines.ERRORS):
+    """Copies of any length go; one edit links for each 15 characters of the shorter line, ``errors`` at most."""
     key = lambda p: (p[0] is not None, p[0] or 0, p[1])
+    first, by_size = {}, {}
     for i, t in docs:
-        for no, line in enumerate((t or "").split("\n")):
-            if len(line) >= least:
-                first[line] = min(first.get(line, (i, no)), (i, no), key=key)
-    by_size = {}
+        for no, x in enumerate((t or "").split("\n")):
+            if x:
+                first[x] = min(first.get(x, (i, no)), (i, no), key=key)
     for x in first:
         by_size.setdefault(len(x), []).append(x)
-    links, later = dict.fromkeys(first, 0), set()
-    from collections import Counter
+    letters = {x: Counter(x) for x in first}
 
-    grams = {x: Counter(x) for x in first}
-    for x in first:
-        for size in range(len(x) - errors, len(x) + errors + 1):
-            for y in by_size.get(size, []):
-                if x == y or sum(((grams[x] - grams[y]) + (grams[y] - grams[x])).values()) > 2 * errors:
-                    continue
-                if distance(x, y, errors) <= errors:
-                    links[x] += 1
-                    if key(first[y]) < key(first[x]):
-                        later.add(x)
+    def close(x, y):
+        most = min(errors, min(len(x), len(y)) // 15)
+        if x == y or abs(len(x) - len(y)) > most:
+            return False
+        # an edit changes the counts of two letters by one each at most
+        apart = sum(((letters[x] - letters[y]) + (letters[y] - letters[x])).values())
+        return apart <= 2 * most and distance(x, y, most) <= most
+
+    near = {
+        x: [y for size in range(len(x) - errors, len(x) + errors + 1) for y in by_size.get(size, []) if close(x, y)]
+        for x in first
+    }
+    gone = {x for x in first if any(key(first[y]) < key(first[x]) for y in near[x])}
     out = []
     for i, t in docs:
         parts = (t or "").split("\n")
-        long = [(no, x) for no, x in enumerate(parts) if len(x) >= least]
-        drop = [no for no, x in long if x in later or first[x] != (i, no)]
-        out.append((i, len(parts), len(drop), sum(links[x] for _, x in long), ",".join(map(str, drop))))
+        drop = [no for no, x in enumerate(parts) if x and (x in gone or first[x] != (i, no))]
+        out.append((i, len(parts), len(drop), sum(len(near[x]) for x in parts if x), ",".join(map(str, drop))))
     return out
 
 
 def test_line_report_equals_plain(spark):
     docs = [(r["doc_id"], r["text"]) for r in table(spark, SMALL, "documents").collect()]
     found = queries.op3_line_dedup(spark, SMALL).collect()
-    assert sorted(map(tuple, found)) == sorted(plain_report(docs))
+    assert sorted(map(tuple, found)) == sorted(plain_whole_report(docs))
 
 
 LINE = "this line is long enough to be looked at by the join"
@@ -110,7 +112,7 @@ CASES = [
 
 def test_line_removal_in_hard_cases(spark):
     df = documents(spark, [(i, t, "en", "s", 1) for i, t in CASES]).withColumn("TEXT2", F.lit("x")).withColumnRenamed("TEXT2", "Text")
-    expected = plain_report(CASES)
+    expected = plain_whole_report(CASES)
     found = lines.line_report(df).select("doc_id", "n_lines", "n_dropped", "n_links", F.concat_ws(",", F.transform("dropped", lambda i: i.cast("string")))).collect()
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
     kept = lines.drop_duplicate_lines(df)
@@ -127,28 +129,6 @@ def test_lines_of_an_empty_table(spark):
     assert lines.drop_duplicate_lines(documents(spark, [])).collect() == []
 
 
-def plain_whole_report(docs, errors=lines.ERRORS):
-    """Copies of any length go; one edit links for each 15 characters of the shorter line, ``errors`` at most."""
-    key = lambda p: (p[0] is not None, p[0] or 0, p[1])
-    first = {}
-    for i, t in docs:
-        for no, x in enumerate((t or "").split("\n")):
-            if x:
-                first[x] = min(first.get(x, (i, no)), (i, no), key=key)
-    budget = lambda x, y: min(errors, min(len(x), len(y)) // 15)
-    near = {
-        x: [y for y in first if x != y and abs(len(x) - len(y)) <= budget(x, y) and distance(x, y, errors) <= budget(x, y)]
-        for x in first
-    }
-    gone = {x for x in first if any(key(first[y]) < key(first[x]) for y in near[x])}
-    out = []
-    for i, t in docs:
-        parts = (t or "").split("\n")
-        drop = [no for no, x in enumerate(parts) if x and (x in gone or first[x] != (i, no))]
-        out.append((i, len(parts), len(drop), sum(len(near[x]) for x in parts if x), ",".join(map(str, drop))))
-    return out
-
-
 def test_short_lines(spark):
     rng = random.Random(5)
     docs = [

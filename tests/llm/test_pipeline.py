@@ -8,7 +8,7 @@ from lethe.llm import pieces, quality
 from lethe.llm.frames import table
 from tests.conftest import SMALL
 from tests.llm.test_dedup import plain_components, plain_fingerprint
-from tests.llm.test_lines import plain_report
+from tests.llm.test_lines import plain_whole_report
 from tests.llm.test_pieces import plain_encode
 from tests.llm.test_screening import documents
 from tests.llm.test_search import plain_leaks
@@ -19,7 +19,7 @@ def expected(spark, rows):
     judged = quality.judge_documents(documents(spark, rows)).where("kept").collect()
     kept = {r["doc_id"] for r in judged}
     rows = [r for r in rows if r[0] in kept]
-    dropped = {i: set(map(int, d.split(","))) if d else set() for i, *_, d in plain_report([r[:2] for r in rows])}
+    dropped = {i: set(map(int, d.split(","))) if d else set() for i, *_, d in plain_whole_report([r[:2] for r in rows])}
     texts = {
         r[0]: "\n".join(x for no, x in enumerate(r[1].split("\n")) if no not in dropped[r[0]]) for r in rows
     }
