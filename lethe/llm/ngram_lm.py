@@ -2,7 +2,7 @@
 
 For neighbouring words ``u v`` of a document with corpus counts c (N words in all):
 
-    score(v | u) = c(u v) / c(u)             if c(u v) >= least
+    score(v | u) = c(u v) / c(u)             if c(u v) >= least (1: any count above 0)
                    backoff * c(v) / N        else, and for the first word of a document
 
 A document's score is the sum of the natural logarithms over its words; ``mean`` divides by their number.
@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 from lethe.llm.frames import pick, ship, stored
 from lethe.llm.words import mix, separators, sliced, words_of
 
-BACKOFF, LEAST = 0.4, 2
+BACKOFF, LEAST = 0.4, 1
 FREQUENT, HOT = 1 << 20, 4_096
-BUCKET = 1_000_000
+BUCKET = 400_000
 _RANK = np.uint64(24)  # bits of a frequent word's number in a pair
 _RARE = np.uint64(1 << 63)
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 

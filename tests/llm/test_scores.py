@@ -14,7 +14,7 @@ from tests.llm.test_screening import documents
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def plain_scores(docs, backoff=0.4, least=2):
+def plain_scores(docs, backoff=0.4, least=1):
     split = [WORD.findall(t or "") for _, t in docs]
     one, two = Counter(), Counter()
     for w in split:
@@ -44,13 +44,15 @@ def test_scores_equal_plain_counts(spark):
     same(queries.op10_lm_scoring(spark, MEDIUM).collect(), plain_scores(docs))
 
 
-@pytest.mark.parametrize("frequent,hot,bucket", [(1 << 20, 4_096, 1_000_000), (50, 20, 100), (4, 2, 1000), (65_536, 30, 7)])
-def test_scores_in_hard_cases(spark, frequent, hot, bucket):
+@pytest.mark.parametrize(
+    "frequent,hot,bucket,least", [(1 << 20, 4_096, 1_000_000, 1), (50, 20, 100, 2), (4, 2, 1000, 1), (65_536, 30, 7, 2)]
+)
+def test_scores_in_hard_cases(spark, frequent, hot, bucket, least):
     texts = ["a b a b a b c", "", None, "  x ", "a b " * 500, "one", "one two one two", "é\x0bé é", "a b a b a b c"]
     rows = [(i % 8, t, "en", "s", 1) for i, t in enumerate(texts)] + [(None, "a b q", "en", "s", 1)] * 2
     rows.append((0, "a b a b a b c", "en", "s", 1))
-    found = ngram_lm.score(documents(spark, rows), frequent=frequent, hot=hot, bucket=bucket).collect()
-    same(found, plain_scores([r[:2] for r in rows]))
+    found = ngram_lm.score(documents(spark, rows), least=least, frequent=frequent, hot=hot, bucket=bucket).collect()
+    same(found, plain_scores([r[:2] for r in rows], least=least))
     assert all((r["mean"] is None) == (r["n_words"] == 0) for r in found)
 
 
