@@ -49,7 +49,7 @@ SHINGLE = 2
 PERCENT = 80
 HASHES, DEPTH = 80, 4
 #: Labels after its own that a label is paired with, in regions with more of them.
-WINDOW = 32
+WINDOW = 24
 #: The first pass: every so many orders, and neighbours in each.
 FIRST_STEP, FIRST_WINDOW = 2, 1
 #: Identifiers sent to all tasks at most (8 bytes each); more are joined by shuffle.
