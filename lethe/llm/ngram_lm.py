@@ -40,10 +40,10 @@ from lethe.llm.words import mix, separators, sliced, words_of
 
 BACKOFF, LEAST = 0.4, 1
 FREQUENT, HOT = 1 << 20, 4_096
-BUCKET = 400_000
+BUCKET = 600_000
 _RANK = np.uint64(24)  # bits of a frequent word's number in a pair
 _RARE = np.uint64(1 << 63)
-_SLICE = 4 << 20
+_SLICE = 6 << 20
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -171,11 +171,6 @@ DEALT = "bucket long, docs binary, at binary, key binary, u binary, v binary, va
 PARTIAL = "key long, value double, word long, n long"
 
 
-def _spread(docs: np.ndarray) -> np.ndarray:
-    """A word number that no word has (the top bit is not set), different for most documents."""
-    return (mix(docs.view(np.uint64)) >> np.uint64(1)).view(np.int64)
-
-
 def bucket_joiner(settings):
     """Joins the pairs of a bucket to its part of the count table.
 
@@ -190,7 +185,7 @@ def bucket_joiner(settings):
             doc, value, word = (np.frombuffer(x, t) for x, t in ((r.docs, np.int64), (r.at, np.float64), (r.key, np.uint64)))
             known, hard = doc[: len(value)], doc[len(value) :]
             zero = np.zeros(len(value), np.int64)
-            out.append(pd.DataFrame({"key": known, "value": value, "word": _spread(known), "n": zero}))
+            out.append(pd.DataFrame({"key": known, "value": value, "word": zero, "n": zero}))
             out.append(pd.DataFrame({"key": hard, "value": np.full(len(hard), s.floor), "word": word.view(np.int64), "n": np.ones(len(hard), np.int64)}))
         for r in rows[~rows["value"]].itertuples(index=False):
             key, u, v = (_from_planes(x, np.uint64) for x in (r.key, r.u, r.v))
@@ -207,7 +202,7 @@ def bucket_joiner(settings):
             rare = word >= _RARE
             value[~rare] += sign[~rare] * s.word_logs[word[~rare].astype(np.int64)]
             own, at = np.unique(doc, return_inverse=True)
-            out.append(pd.DataFrame({"key": own, "value": np.bincount(at, value), "word": _spread(own), "n": np.zeros(len(own), np.int64)}))
+            out.append(pd.DataFrame({"key": own, "value": np.bincount(at, value), "word": np.zeros(len(own), np.int64), "n": np.zeros(len(own), np.int64)}))
             some = np.flatnonzero(rare)
             out.append(pd.DataFrame({"key": doc[some], "value": np.zeros(len(some)), "word": word[some].view(np.int64), "n": sign[some]}))
         return pd.concat(out).astype({"n": "int64"})
