@@ -107,15 +107,14 @@ def write_report(reported: DataFrame, path: str) -> None:
 def apply_decisions(reported: DataFrame, decisions: DataFrame, default: str = FLAG_ERASE) -> DataFrame:
     """The report with the reviewer's flags; rows without a decision get the default.
 
-    ``decisions`` is ``(subject, source, table_name, row_id, update_flag)``.
+    ``decisions`` is ``(subject, source, table_name, row_id, update_flag)``. A decision that is given twice counts once;
+    different ones on the same row are an error when the result is computed, since one of them would be overruled.
     """
-    decided = decisions.select(
-        "subject",
-        F.col("source").alias("Source"),
-        F.col("table_name").alias("Table Name"),
-        "row_id",
-        F.col(FLAG_COLUMN).alias("__decided"),
-    )
+    first, last = F.min(FLAG_COLUMN), F.max(FLAG_COLUMN)
+    differ = F.raise_error(F.concat(F.lit("conflicting decisions on row "), F.col("row_id")))
+    decided = decisions.groupBy(
+        "subject", F.col("source").alias("Source"), F.col("table_name").alias("Table Name"), "row_id"
+    ).agg(F.when(first != last, differ).otherwise(first).alias("__decided"))
     joined = reported.join(decided, ["subject", "Source", "Table Name", "row_id"], "left")
     return joined.withColumn(FLAG_COLUMN, F.coalesce("__decided", F.lit(default))).select(
         *[quoted(c) for c in reported.columns]

@@ -119,6 +119,12 @@ def every_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").select(address("c_custkey").alias("subject")).distinct()
 
 
+def customers_of(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
+    """All customers of a market segment ask."""
+    customers = load(spark, sf_dir, "customer").where(F.col("c_mktsegment") == segment)
+    return customers.select(address("c_custkey").alias("subject")).distinct()
+
+
 def shop_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog that grows with the data: every part is a table of its brand's database.
 

@@ -52,7 +52,10 @@ def _cells(exclude: set[str]) -> str:
     return "cells AS MATERIALIZED (\n  " + "\n  UNION ALL ".join(parts) + ")"
 
 
-def _subjects(everybody: bool) -> str:
+def _subjects(everybody: bool | str) -> str:
+    """The requested people, every customer, or those of a market segment."""
+    if isinstance(everybody, str):
+        return f"subjects AS (SELECT DISTINCT email AS subject FROM customer_pii WHERE mktsegment = '{everybody}')"
     if everybody:
         return "subjects AS (SELECT DISTINCT email AS subject FROM customer_pii)"
     values = ", ".join(f"('{s}')" for s in REQUESTS)
@@ -64,7 +67,7 @@ _KEY_PARTS = ", ".join(f"TRY_CAST(split_part(row_key, '/', {i}) AS DOUBLE)" for
 
 
 def search_ctes(
-    everybody: bool = False,
+    everybody: bool | str = False,
     passes: int = 5,
     exclude: set[str] = frozenset({"nationkey"}),
     first_match: bool = False,
@@ -167,20 +170,43 @@ _MASKED_ORDERS = (
     "partition_0, partition_1 FROM (SELECT *, CAST(orderkey AS VARCHAR) IN "
     f"({_FLAGGED}) AS hit FROM orders_pii)"
 )
-_TOUCHED = (
-    "touched AS (SELECT DISTINCT h.subject, o.partition_0, o.partition_1 FROM hits h JOIN orders_pii o "
-    "ON h.row_key = CAST(o.orderkey AS VARCHAR) WHERE h.table_name = 'sales_pii.orders_pii')"
-)
+# The stored tables: partition, and the columns that are masked.
+_MONTH = "strftime({0}, '%Y') || '/' || strftime({0}, '%m')"
+_STORED = {
+    "crm_pii.customer_pii": ("CAST(NULL AS VARCHAR)", ("email", "name")),
+    "web_pii.events_pii": (_MONTH.format("event_ts"), ("contact_email", "props")),
+    "sales_pii.orders_pii": (_MONTH.format("order_ts"), ("orderstatus", "orderpriority")),
+    "sales_pii.lineitem_pii": (_MONTH.format("ship_ts"), ("returnflag", "linestatus")),
+    "ref_pii.supplier_pii": ("CAST(NULL AS VARCHAR)", ("name",)),
+}
 
 
-def _touched(select: str) -> str:
-    return f"WITH {search_ctes()},\n{_TOUCHED}\n{select}"
+def _stored_rows() -> str:
+    """Every row of every stored table: (table_name, row_key, partition, kept, token, hit)."""
+    parts = []
+    for name, (partition, masked) in _STORED.items():
+        view, key, _ = _TABLES[name]
+        kept = " || '|' || ".join(f"coalesce({c}, 'null')" for c in masked)
+        token = " || '|' || ".join(f"sha256('{c}')" for c in masked)
+        parts.append(
+            f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS row_key, {partition} AS partition, "
+            f"{kept} AS kept, {token} AS token FROM {view}"
+        )
+    union = " UNION ALL ".join(parts)
+    return (
+        f"stored AS (SELECT *, (table_name, row_key) IN (SELECT table_name, row_key FROM hits) AS hit FROM ({union})),\n"
+        "touched AS (SELECT DISTINCT h.subject, s.table_name, s.partition, coalesce(s.partition, '') AS place "
+        "FROM hits h JOIN stored s USING (table_name, row_key))"
+    )
 
 
-_MANIFEST = (
-    "SELECT 'run1' AS run_id, subject, 'sales_pii.orders_pii' AS table_name, "
-    "partition_0 || '/' || partition_1 AS partition FROM touched"
-)
+def _stored(select: str, **options) -> str:
+    return f"WITH {search_ctes(**options)},\n{_stored_rows()}\n{select}"
+
+
+_PLACE = "(table_name, coalesce(partition, ''))"
+_MASKED_ROWS = "SELECT table_name, row_key, partition, CASE WHEN hit THEN token ELSE kept END AS masked FROM stored"
+_MANIFEST = "SELECT 'run1' AS run_id, subject, table_name, partition FROM touched"
 
 _LAKE_METADATA = {
     "crm_pii.customer_pii": ("customer_pii", "email custkey name nationkey acctbal mktsegment"),
@@ -503,29 +529,24 @@ ORACLE: dict[str, str] = {
         "name || '''''s''' END || ' AND nationkey = ' || nationkey || ' AND acctbal = ' || acctbal || "
         "' AND mktsegment = ''' || mktsegment || ''';' AS statement FROM customer_pii"
     ),
-    "erase_partition_rewrite": _search(_MASKED_ORDERS),
-    "update_rewrite": _search(_MASKED_ORDERS),
-    "erase_partition_delete": _search(
-        f"SELECT 'gone' AS what, count(*) AS n_rows FROM orders_pii WHERE CAST(orderkey AS VARCHAR) "
-        f"IN ({_FLAGGED}) UNION ALL SELECT 'left', count(*) FROM orders_pii "
-        f"WHERE CAST(orderkey AS VARCHAR) NOT IN ({_FLAGGED}) HAVING count(*) > 0",
-        everybody=True,
+    "erase_partition_rewrite": _stored(_MASKED_ROWS),
+    "update_rewrite": _stored(_MASKED_ROWS),
+    "erase_partition_delete": _stored(
+        "SELECT table_name, CASE WHEN hit THEN 'gone' ELSE 'left' END AS what, count(*) AS n_rows FROM stored GROUP BY ALL",
+        everybody="MACHINERY",
+    ),
+    "audit_rewrite": _stored(
+        "SELECT table_name, partition, count(*) AS n_before, count(*) FILTER (hit) AS n_flagged, count(*) AS n_after, "
+        f"true AS passed FROM stored WHERE {_PLACE} IN (SELECT table_name, place FROM touched) GROUP BY ALL"
+    ),
+    "backup_snapshot": _stored(
+        "SELECT table_name, row_key, partition, kept AS masked FROM stored "
+        f"WHERE {_PLACE} IN (SELECT table_name, place FROM touched)"
     ),
-    "audit_rewrite": _touched(
-        "SELECT o.partition_0 || '/' || o.partition_1 AS partition, count(*) AS n_before, "
-        f"count(*) FILTER (CAST(orderkey AS VARCHAR) IN ({_FLAGGED})) AS n_flagged, "
-        "count(*) AS n_after, true AS passed FROM orders_pii o "
-        "WHERE (partition_0, partition_1) IN (SELECT partition_0, partition_1 FROM touched) GROUP BY ALL"
-    ),
-    "backup_snapshot": _touched(
-        f"SELECT {_ORDER_COLUMNS} FROM orders_pii "
-        "WHERE (partition_0, partition_1) IN (SELECT partition_0, partition_1 FROM touched)"
-    ),
-    "backup_manifest": _touched(_MANIFEST),
-    "backup_purge": _touched(
-        _MANIFEST
-        + f" WHERE (partition_0, partition_1) NOT IN (SELECT partition_0, partition_1 FROM touched "
-        f"WHERE subject = '{REQUESTS[0]}')"
+    "backup_manifest": _stored(_MANIFEST),
+    "backup_purge": _stored(
+        _MANIFEST + " WHERE (table_name, place) NOT IN "
+        f"(SELECT table_name, place FROM touched WHERE subject = '{REQUESTS[0]}')"
     ),
     # scalar
     "qualify_name": _shop('SELECT DISTINCT qualified, db, "table" FROM shop'),

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lethe.functions import hashing, text
+from lethe.functions.identity import partition_text
 from lethe.operators import audit, classify, erase, linkage, masking, review
 from lethe.plans.rewrite import Change, Places, Run, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
@@ -639,81 +641,121 @@ def update_script(spark, sf_dir):
     return masking.update_script(flagged, CUSTOMER, ["email", "name", "nationkey"])
 
 
-def _month_table(spark, sf_dir) -> LakeTable:
-    """A writable copy of the order table, partitioned by month, in the scratch folder."""
-    path = new_folder(spark, "orders")
-    orders = lake.orders_pii(spark, sf_dir).drop("partition_2")
-    orders.hint("rebalance", *MONTHS).write.partitionBy(*MONTHS).parquet(path)
-    return LakeTable(ORDERS, path, MONTHS, schema=spark.read.parquet(path).schema)
+#: How the sample tables with personal rows are stored.
+STORED = {CUSTOMER: (), EVENTS: MONTHS, ORDERS: MONTHS, LINEITEM: MONTHS, SUPPLIER: ()}
+MASKED_TEXTS = {
+    CUSTOMER: ("email", "name"),
+    EVENTS: ("contact_email", "props"),
+    ORDERS: ("orderstatus", "orderpriority"),
+    LINEITEM: ("returnflag", "linestatus"),
+    SUPPLIER: ("name",),
+}
+MASKED_ANYWHERE = tuple(sorted({c for columns in MASKED_TEXTS.values() for c in columns}))
+
+
+def _stored_lake(spark, sf_dir) -> dict[str, LakeTable]:
+    """Writable copies of all tables with personal rows, partitioned by month or not at all."""
+    stored = {}
+    for name, columns in STORED.items():
+        path, df = new_folder(spark, "table"), lake.VIEWS[name](spark, sf_dir)
+        if name == LINEITEM:
+            df = df.select("*", *lake.day_parts("ship_ts"))
+        if columns:
+            df.drop("partition_2").hint("rebalance", *columns).write.partitionBy(*columns).parquet(path)
+        else:
+            df.write.parquet(path)
+        stored[name] = LakeTable(name, path, columns, schema=spark.read.parquet(path).schema)
+    return stored
 
 
 def _rewritten(
-    spark, sf_dir, change: Change, everybody: bool = False
-) -> tuple[LakeTable, Places, Run]:
-    """Search, report, review and rewrite of the order table."""
-    stored = _month_table(spark, sf_dir)
-    tables = {**lake.tables(spark, sf_dir), ORDERS: stored.read(spark)}
-    subjects = lake.every_customer(spark, sf_dir) if everybody else lake.requested(spark)
+    spark, sf_dir, change: Change, subjects: DataFrame | None = None
+) -> tuple[dict[str, LakeTable], Places, dict[str, DataFrame]]:
+    """Search, report, review and rewrite of every table with hits; the audits by table."""
+    stored = _stored_lake(spark, sf_dir)
+    tables = {**lake.tables(spark, sf_dir), **{name: t.read(spark) for name, t in stored.items()}}
     found = search(
         tables,
-        subjects,
+        lake.requested(spark) if subjects is None else subjects,
         NO_COUNTRY,
         columns=lake.columns(spark, tables),
         partition_columns=MONTHS,
     )
-    reported = review.report(found.hits.where(F.col("table_name") == ORDERS))
     root = new_folder(spark, "erase")
     places = Places(f"{root}/backups", f"{root}/stage", f"{root}/records")
-    erase_reviewed(spark, {ORDERS: stored}, reported, places, "run1", change, coverage=found.coverage())
-    return stored, places, Run(spark, stored, places, "run1", change)
+    audits = erase_reviewed(
+        spark, stored, review.report(found.hits), places, "run1", change, coverage=found.coverage()
+    )
+    return stored, places, audits
+
+
+def _shown(df: DataFrame, name: str) -> DataFrame:
+    """Key, partition and the columns to mask of each row, alike for all tables."""
+    texts = [F.coalesce(F.col(c), F.lit("null")) for c in MASKED_TEXTS[name]]
+    return df.select(
+        F.lit(name).alias("table_name"),
+        F.concat_ws("/", *[F.col(c).cast("string") for c in ROW_KEY[name]]).alias("row_key"),
+        partition_text(STORED[name]).alias("partition"),
+        F.concat_ws("|", *texts).alias("masked"),
+    )
+
+
+def _together(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query
 def erase_partition_rewrite(spark, sf_dir):
-    stored, _, _ = _rewritten(spark, sf_dir, Change("mask", MASKED))
-    return _order_columns(stored.read(spark))
+    """All rows of all tables after the requested people's rows are masked."""
+    stored, _, _ = _rewritten(spark, sf_dir, Change("mask", MASKED_ANYWHERE))
+    return _together(_shown(t.read(spark), name) for name, t in stored.items())
 
 
 @query
 def erase_partition_delete(spark, sf_dir):
-    """Every customer asks: all partitions lose all rows."""
-    stored, _, run = _rewritten(spark, sf_dir, Change("delete"), everybody=True)
-    left = stored.read(spark).groupBy(F.lit("left").alias("what")).agg(F.count(F.lit(1)).alias("n_rows"))
-    gone = run.audit().agg(F.sum("n_flagged").alias("n_rows")).select(F.lit("gone").alias("what"), "n_rows")
-    return gone.unionByName(left)
+    """All customers of a market segment ask; what is gone and what is left, by table."""
+    subjects = lake.customers_of(spark, sf_dir, "MACHINERY")
+    stored, _, audits = _rewritten(spark, sf_dir, Change("delete"), subjects)
+    rows = F.count(F.lit(1)).alias("n_rows")
+    left = _together(t.read(spark).agg(rows).select(F.lit(n).alias("table_name"), "n_rows") for n, t in stored.items())
+    gone = _together(
+        a.agg(F.sum("n_flagged").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, a in audits.items()
+    )
+    return gone.withColumn("what", F.lit("gone")).unionByName(left.withColumn("what", F.lit("left"))).where("n_rows > 0")
 
 
 @query
 def update_rewrite(spark, sf_dir):
     """The row-match update on storage: rows equal to a found one but for the time."""
-    columns = ("orderstatus", "orderpriority", "totalprice")
-    stored, _, _ = _rewritten(spark, sf_dir, Change("mask", columns, match="columns"))
-    return _order_columns(stored.read(spark))
+    stored, _, _ = _rewritten(spark, sf_dir, Change("mask", MASKED_ANYWHERE, match="columns"))
+    return _together(_shown(t.read(spark), name) for name, t in stored.items())
 
 
 @query
 def audit_rewrite(spark, sf_dir):
-    _, _, run = _rewritten(spark, sf_dir, Change("mask", MASKED))
-    return run.audit().select("partition", "n_before", "n_flagged", "n_after", "passed")
+    _, _, audits = _rewritten(spark, sf_dir, Change("mask", MASKED_ANYWHERE))
+    counts = ("partition", "n_before", "n_flagged", "n_after", "passed")
+    return _together(a.select(F.lit(name).alias("table_name"), *counts) for name, a in audits.items())
 
 
 @query
 def backup_snapshot(spark, sf_dir):
-    """The touched partitions as they were before the masking."""
-    _, _, run = _rewritten(spark, sf_dir, Change("mask", MASKED))
-    return _order_columns(run.backup())
+    """The touched partitions of all tables as they were before the masking."""
+    change = Change("mask", MASKED_ANYWHERE)
+    stored, places, audits = _rewritten(spark, sf_dir, change)
+    return _together(_shown(Run(spark, stored[name], places, "run1", change).backup(), name) for name in audits)
 
 
 @query
 def backup_manifest(spark, sf_dir):
-    _, places, _ = _rewritten(spark, sf_dir, Change("mask", MASKED))
+    _, places, _ = _rewritten(spark, sf_dir, Change("mask", MASKED_ANYWHERE))
     return read_manifest(spark, places).select("run_id", "subject", "table_name", "partition")
 
 
 @query
 def backup_purge(spark, sf_dir):
     """What is left of the backups after one person's are purged."""
-    _, places, _ = _rewritten(spark, sf_dir, Change("mask", MASKED))
+    _, places, _ = _rewritten(spark, sf_dir, Change("mask", MASKED_ANYWHERE))
     purge(spark, places, lake.REQUESTS[0])
     return read_manifest(spark, places).select("run_id", "subject", "table_name", "partition")
 
