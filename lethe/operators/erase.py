@@ -17,13 +17,16 @@ _ID = "__row_id"
 _FLAG = "__flagged"
 
 
-def tag_flagged(df: DataFrame, flagged: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def tag_flagged(
+    df: DataFrame, flagged: DataFrame, limits: Limits = Limits(), columns: Sequence[str] | None = None
+) -> DataFrame:
     """``df`` with a boolean column that tells the rows whose id is among ``flagged.row_id``.
 
-    The ids are measured; the table itself is shuffled only when they are too many to broadcast.
+    The ids are measured; the table itself is shuffled only when they are too many to broadcast. A row's id is that of
+    all columns, or of ``columns``.
     """
     ids = flagged.select(F.col(ROW_ID).alias(_ID)).distinct().withColumn(_FLAG, F.lit(True))
-    tagged = lookup_join(df.withColumn(_ID, row_id(df.columns)), ids, [_ID], "left", limits)
+    tagged = lookup_join(df.withColumn(_ID, row_id(columns or df.columns)), ids, [_ID], "left", limits)
     names = [quoted(c) for c in df.columns]
     return tagged.select(*names, F.col(_FLAG).isNotNull().alias(_FLAG))
 

@@ -76,6 +76,16 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; what lay at the target is replaced, folders above it are made."""
+    from_path, fs = _hadoop_path(spark, source)
+    to_path, _ = _hadoop_path(spark, target)
+    fs.mkdirs(to_path.getParent())
+    fs.delete(to_path, True)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def plain_path(spark: SparkSession, uri: str) -> str:
     """The path of a file's address as Spark reports it (``%7D`` for ``}`` and the like)."""
     jvm = spark.sparkContext._jvm

@@ -204,6 +204,14 @@ def _stored(select: str, **options) -> str:
     return f"WITH {search_ctes(**options)},\n{_stored_rows()}\n{select}"
 
 
+
+
+def _masked_in(partition: str) -> str:
+    hit = f"CAST(orderkey AS VARCHAR) IN ({_FLAGGED})"
+    masked = ", ".join(f"CASE WHEN {hit} THEN sha256('{c}') ELSE {c} END AS {c}" for c in ("orderstatus", "orderpriority"))
+    return _search(f"SELECT orderkey, {masked}, {partition} AS partition FROM orders_pii")
+
+
 _PLACE = "(table_name, coalesce(partition, ''))"
 _MASKED_ROWS = "SELECT table_name, row_key, partition, CASE WHEN hit THEN token ELSE kept END AS masked FROM stored"
 _MANIFEST = "SELECT 'run1' AS run_id, subject, table_name, partition FROM touched"
@@ -535,6 +543,8 @@ ORACLE: dict[str, str] = {
         "SELECT table_name, CASE WHEN hit THEN 'gone' ELSE 'left' END AS what, count(*) AS n_rows FROM stored GROUP BY ALL",
         everybody="MACHINERY",
     ),
+    "erase_typed_partition": _masked_in("year(order_ts) || '/' || strftime(order_ts, '%Y-%m-01')"),
+    "erase_plain_folders": _masked_in("partition_0 || '/' || partition_1"),
     "audit_rewrite": _stored(
         "SELECT table_name, partition, count(*) AS n_before, count(*) FILTER (hit) AS n_flagged, count(*) AS n_after, "
         f"true AS passed FROM stored WHERE {_PLACE} IN (SELECT table_name, place FROM touched) GROUP BY ALL"

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from lethe.functions import hashing, text
 from lethe.functions.identity import partition_text
 from lethe.operators import audit, classify, erase, linkage, masking, review
-from lethe.plans.rewrite import Change, Places, Run, purge, read_manifest
+from lethe.plans.rewrite import Change, Places, Run, partition_folders, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
 from lethe.plans.workflow import erase_reviewed
-from lethe.scratch import new_folder
+from lethe.scratch import move, new_folder
 from lethe.settings import LAKE, WAREHOUSE, Settings
 from lethe.sources import catalog, requests
 from lethe.sources import tables as scans
@@ -760,6 +760,53 @@ def backup_purge(spark, sf_dir):
     return read_manifest(spark, places).select("run_id", "subject", "table_name", "partition")
 
 
+def _masked_in(spark, sf_dir, stored: LakeTable, table: DataFrame) -> LakeTable:
+    """The requested people's rows masked in one further table beside the sample tables, which stay as they are."""
+    tables = {name: df for name, df in lake.tables(spark, sf_dir).items() if name != ORDERS} | {stored.name: table}
+    columns = catalog.columns_of(spark, tables, LAKE, (*lake.PARTITIONS, *stored.partition_columns))
+    found = search(
+        tables, lake.requested(spark), NO_COUNTRY, columns=columns, partition_columns=stored.partition_columns
+    )
+    root = new_folder(spark, "erase")
+    places = Places(f"{root}/backups", f"{root}/stage", f"{root}/records")
+    reported = review.report(found.hits.where(F.col("table_name") == stored.name))
+    change = Change("mask", MASKED_TEXTS[ORDERS])
+    erase_reviewed(spark, {stored.name: stored}, reported, places, "run1", change, coverage=found.coverage())
+    return stored
+
+
+def _shown_orders(df: DataFrame, partitions) -> DataFrame:
+    return df.select("orderkey", "orderstatus", "orderpriority", partition_text(partitions).alias("partition"))
+
+
+@query
+def erase_typed_partition(spark, sf_dir):
+    """A table of the catalog, found by its name, whose partition columns are numbers and dates."""
+    orders = lake.orders_pii(spark, sf_dir).drop(*lake.PARTITIONS)
+    month = F.trunc("order_ts", "month").alias("order_month")
+    orders = orders.select("*", F.year("order_ts").alias("order_year"), month)
+    root = new_folder(spark, "typed")
+    name = "sales_pii.orders_pii_" + root.rsplit("-", 1)[-1]
+    spark.sql("CREATE DATABASE IF NOT EXISTS sales_pii")
+    partitions = ("order_year", "order_month")
+    writer = orders.hint("rebalance", *partitions).write.partitionBy(*partitions)
+    writer.format("parquet").option("path", root).saveAsTable(name)
+    _masked_in(spark, sf_dir, LakeTable.from_catalog(spark, name), spark.table(name))
+    return _shown_orders(spark.table(name), partitions)
+
+
+@query
+def erase_plain_folders(spark, sf_dir):
+    """A table in folders ``yyyy/MM`` without the columns' names."""
+    path, keyed = new_folder(spark, "plain"), new_folder(spark, "keyed")
+    lake.orders_pii(spark, sf_dir).drop("partition_2").hint("rebalance", *MONTHS).write.partitionBy(*MONTHS).parquet(keyed)
+    stored = LakeTable(ORDERS, path, MONTHS, schema=spark.read.parquet(keyed).schema, layout="plain")
+    for values, folder in partition_folders(LakeTable(ORDERS, keyed, MONTHS).read(spark), MONTHS).items():
+        move(spark, folder, stored.folder(values))
+    _masked_in(spark, sf_dir, stored, stored.read(spark))
+    return _shown_orders(stored.read(spark), MONTHS)
+
+
 # -- scalar ------------------------------------------------------------------------------
 
 
