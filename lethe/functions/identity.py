@@ -113,8 +113,8 @@ def has_map(dtype: T.DataType) -> bool:
     return False
 
 
-def row_hash(schema: T.StructType) -> Column:
-    """64-bit hash of the row for checksums (rows with maps go through their JSON text)."""
+def row_hash(schema: T.StructType, *more: Column) -> Column:
+    """64-bit hash of the row for checksums (rows with maps go through their JSON text); another one with ``more``."""
     if has_map(schema):
-        return F.xxhash64(row_json(schema.fieldNames()))
-    return F.xxhash64(*[quoted(c) for c in schema.fieldNames()])
+        return F.xxhash64(*more, row_json(schema.fieldNames()))
+    return F.xxhash64(*more, *[quoted(c) for c in schema.fieldNames()])

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lethe.functions.identity import quoted, row_id
+from lethe.functions.identity import quoted, row_hash, row_id
 from lethe.operators.lookup import lookup_join, measure
 from lethe.operators.masking import mask, match_columns
 from lethe.settings import Limits
@@ -15,6 +15,8 @@ from lethe.settings import Limits
 ROW_ID = "row_id"
 _ID = "__row_id"
 _FLAG = "__flagged"
+_GONE, _SLICE, _ROWS = "__gone", "__slice", "__rows"
+_PIECE = 4096
 
 
 def tag_flagged(
@@ -58,15 +60,34 @@ def remove_copies(df: DataFrame, flagged: DataFrame, limits: Limits = Limits())
 def remove_counted(df: DataFrame, flagged: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``df`` minus ``flagged`` as multisets: one copy goes per flagged row.
 
-    Only rows that equal a flagged row are counted and shuffled; all others pass through.
+    Only rows that equal a flagged row are counted; all others pass through. Equal rows are counted in up to
+    ``limits.salts`` slices (by task, so a repeated task counts the same), so a value with a large share of the rows is no single task's work; a slice keeps what the
+    slices before it leave over of the flagged count, and its rows are written out again in pieces.
     """
     names = [quoted(c) for c in df.columns]
     flagged = flagged.select(*names)
-    once = flagged.distinct()
-    size = measure(once)
-    other = lookup_join(df, once, df.columns, "left_anti", limits, size, null_safe=True)
-    equal = lookup_join(df, once, df.columns, "left_semi", limits, size, null_safe=True)
-    return other.select(*names).unionByName(equal.select(*names).exceptAll(flagged))
+    once = flagged.groupBy(*names).agg(F.count(F.lit(1)).alias(_GONE))
+    values = once.drop(_GONE)
+    size = measure(values)
+    other = lookup_join(df, values, df.columns, "left_anti", limits, size, null_safe=True)
+    equal = lookup_join(df, values, df.columns, "left_semi", limits, size, null_safe=True)
+    slices = (
+        equal.select(*names, F.pmod(F.spark_partition_id(), F.lit(max(limits.salts, 1))).alias(_SLICE))
+        .groupBy(*names, _SLICE)
+        .agg(F.count(F.lit(1)).alias(_ROWS))
+    )
+    # at most ``salts`` rows for each value from here on, until they are written out
+    before = Window.partitionBy(*names).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    counted = lookup_join(slices, once, df.columns, "left", limits, null_safe=True)
+    counted = counted.withColumn("__before", F.coalesce(F.sum(_ROWS).over(before), F.lit(0)))
+    taken = F.least(F.greatest(F.col(_GONE) - F.col("__before"), F.lit(0)), F.col(_ROWS))
+    pieces = counted.withColumn(_ROWS, F.col(_ROWS) - taken).where(F.col(_ROWS) > 0)
+    pieces = pieces.withColumn(
+        "__at", F.explode(F.expr(f"sequence(0L, ({_ROWS} - 1) div {_PIECE}, 1L)"))
+    ).repartition(F.col(_SLICE), F.col("__at"), *[F.col(n) for n in names])
+    copies = F.least(F.col(_ROWS) - F.col("__at") * _PIECE, F.lit(_PIECE)).cast("int")
+    again = pieces.withColumn("__copy", F.explode(F.array_repeat(F.lit(True), copies)))
+    return other.select(*names).unionByName(again.select(*names))
 
 
 def remove_by_id(df: DataFrame, flagged: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -146,25 +167,28 @@ def update_by_row_match(
 def swap_check(old: DataFrame, new: DataFrame, masked: DataFrame) -> DataFrame:
     """One row: are the rows that ``new`` has beyond ``old`` just the masked rows?
 
-    Compared as multisets; ``passed`` tells whether the swap may go on.
+    As multisets, by one aggregation: copies are counted by two 64-bit hashes of the row, before the shuffle, so neither rows
+    nor copies of a frequent row move. ``passed`` tells whether the swap may go on.
     """
     names = [quoted(c) for c in old.columns]
-    added = new.select(*names).exceptAll(old.select(*names))
-    masked = masked.select(*names)
-    one = F.count(F.lit(1))
-    # three one-row counts side by side
-    counts = (
-        added.agg(one.alias("n")).withColumn("what", F.lit("n_added"))
-        .unionByName(masked.agg(one.alias("n")).withColumn("what", F.lit("n_masked")))
-        .unionByName(
-            added.intersectAll(masked).agg(one.alias("n")).withColumn("what", F.lit("n_common"))
-        )
-    )
 
-    def pick(name: str):
-        return F.coalesce(F.max(F.when(F.col("what") == name, F.col("n"))), F.lit(0)).alias(name)
-
-    return counts.agg(pick("n_added"), pick("n_masked"), pick("n_common")).withColumn(
+    def sided(df: DataFrame, name: str) -> DataFrame:
+        mark = F.lit(1).cast("long")
+        sides = {c: mark if c == name else F.lit(0).cast("long") for c in ("old", "new", "masked")}
+        first, second = row_hash(df.schema), row_hash(df.schema, F.lit("second"))
+        return df.select(first.alias("h1"), second.alias("h2"), *[v.alias(k) for k, v in sides.items()])
+
+    rows = sided(old.select(*names), "old").unionByName(sided(new.select(*names), "new"))
+    rows = rows.unionByName(sided(masked.select(*names), "masked"))
+    sums = rows.groupBy("h1", "h2").agg(*[F.sum(c).alias(c) for c in ("old", "new", "masked")])
+    added = F.greatest(F.col("new") - F.col("old"), F.lit(0))
+    total = sums.agg(
+        F.sum(added).alias("n_added"),
+        F.sum("masked").alias("n_masked"),
+        F.sum(F.least(added, F.col("masked"))).alias("n_common"),
+    )
+    counts = total.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_added", "n_masked", "n_common")])
+    return counts.withColumn(
         "passed",
         (F.col("n_added") == F.col("n_common")) & (F.col("n_masked") == F.col("n_common")),
     )
