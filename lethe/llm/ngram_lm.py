@@ -194,6 +194,7 @@ def bucket_joiner(settings):
             values.append(np.append(key & np.uint64((1 << 24) - 1), v))
         if docs:
             doc, u, v = (np.concatenate(x) for x in (docs, names, values))
+            docs, names, values = [], [], []  # held once only
             _, which, counts = np.unique(pair_hash(u, v), return_inverse=True, return_counts=True)
             c = counts[which]
             seen = c >= s.least
@@ -205,7 +206,7 @@ def bucket_joiner(settings):
             out.append(pd.DataFrame({"key": own, "value": np.bincount(at, value), "word": np.zeros(len(own), np.int64), "n": np.zeros(len(own), np.int64)}))
             some = np.flatnonzero(rare)
             out.append(pd.DataFrame({"key": doc[some], "value": np.zeros(len(some)), "word": word[some].view(np.int64), "n": sign[some]}))
-        return pd.concat(out).astype({"n": "int64"})
+        return pd.concat(out, ignore_index=True)
 
     return joined
 
