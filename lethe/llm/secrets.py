@@ -17,7 +17,9 @@ other; an empty table gives no rows. Offsets are code points, end exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -72,18 +74,22 @@ def parts_of(text: str) -> list[tuple[str, int, int]]:
         found += [("identifier", *m.span()) for m in IDENTIFIER.finditer(text)]
     bare = [m.span() for m in BARE.finditer(text) if _random_looking(m[0])]
     if bare:
-        sure = sorted((s, e) for k, s, e in found if k != "identifier")
-        found += [("bare", s, e) for s, e in bare if not _touches(sure, s, e)]
+        starts, reached = _covered([(s, e) for k, s, e in found if k != "identifier"])
+        found += [("bare", s, e) for s, e in bare if not _touches(starts, reached, s, e)]
     if "://" in text:
         found += [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
     return found
 
 
-def _touches(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    import bisect
+def _covered(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts of the spans in order, and how far the spans up to each one reach."""
+    spans = sorted(spans)
+    return [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
 
-    i = bisect.bisect_left(spans, (end, -1))
-    return any(e > start for _, e in spans[max(0, i - 3) : i])  # kinds overlap three deep at most
+
+def _touches(starts: list[int], reached: list[int], start: int, end: int) -> bool:
+    before = bisect_left(starts, end)
+    return before > 0 and reached[before - 1] > start
 
 
 def find_parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

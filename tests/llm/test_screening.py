@@ -106,6 +106,17 @@ def test_long_bare_secrets(spark, size):
     assert row["spans"] == f"identifier:0:12,endpoint:16:40,bare:45:{45 + size}" == plain_spans(text)
 
 
+def test_no_part_inside_a_long_assignment():
+    """Many short sure spans between the start of a long one and a random-looking word."""
+    runs = ".".join(["0123456789abcdef01234567"] * 6)
+    text = f"user=someone secret={runs}.Abcdefgh1234567890XYZ"
+    assigned = [p for p in secrets.parts_of(text) if p[0] == "assign"]
+    assert [(text[s:e].endswith("XYZ")) for _, s, e in assigned] == [True]
+    kinds = [k for k, _, _ in secrets.parts_of(text)]
+    assert kinds.count("hex") == 6 and "bare" not in kinds
+    assert [k for k, _, _ in secrets.parts_of(text.replace("secret=", ""))].count("bare") == 1
+
+
 def test_secret_query(spark):
     found = {r["doc_id"]: r for r in queries.op1_secret_scan(spark, SMALL).collect()}
     for r in table(spark, SMALL, "documents").collect():
