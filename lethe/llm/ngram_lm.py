@@ -57,7 +57,7 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int):
 
 def _pairs(words) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the first words of pairs, and the text of every word."""
-    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    text = np.repeat(np.arange(len(words.first) - 1, dtype=np.int32), np.diff(words.first))
     return np.flatnonzero(text[1:] == text[:-1]), text
 
 
@@ -66,23 +66,27 @@ def pair_hash(u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, _, _, words in _slices(batches, 0):
-        word, n = np.unique(words.hash, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
+    def counted(part) -> pa.RecordBatch:
+        word, n = np.unique(part[-1].hash, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+    yield from map(counted, _slices(batches, 0))
 
 
 def pair_counter(hot_words):
     """Counts pairs of the words in the broadcast, which are sorted."""
 
+    def of_slice(part) -> pa.RecordBatch:
+        known, words = hot_words.value, part[-1]
+        at, held = _lookup(known, words.hash)
+        at[~held] = -1
+        u, _ = _pairs(words)
+        both = u[(at[u] >= 0) & (at[u + 1] >= 0)]
+        pair, n = np.unique(at[both] * len(known) + at[both + 1], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hot_words.value
-        for _, _, _, words in _slices(batches, 0):
-            at, held = _lookup(known, words.hash)
-            at[~held] = -1
-            u, _ = _pairs(words)
-            both = u[(at[u] >= 0) & (at[u + 1] >= 0)]
-            pair, n = np.unique(at[both] * len(known) + at[both + 1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+        yield from map(of_slice, _slices(batches, 0))
 
     return counted
 
@@ -125,44 +129,48 @@ def dealer(settings):
     in. A row with ``value`` holds what was known at once, and words that stand first and are rare.
     """
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_slice(part) -> pa.RecordBatch:
         s: Settings = settings.value
-        for batch, row, n, words in _slices(batches, 1):
-            docs = batch.column(0).slice(row, n).to_numpy(zero_copy_only=False).astype(np.int64)
-            rank, known = _lookup(s.words, words.hash)
-            name = np.where(known, rank.astype(np.uint64), words.hash | _RARE)
-            u, text = _pairs(words)
-            pair = pair_hash(words.hash[u], words.hash[u + 1])
-            # pairs of frequent count, and first words, need no pair count
-            hot_at, hot = _lookup(s.pairs, pair)
-            value = np.zeros(n)
-            np.add.at(value, text[u[hot]], s.pair_logs[hot_at[hot]] - s.word_logs[rank[u[hot]]])
-            first = words.first[:-1][np.diff(words.first) > 0]
-            easy, hard = first[known[first]], first[~known[first]]
-            np.add.at(value, text[easy], s.word_logs[rank[easy]] + s.floor)
-            some = np.flatnonzero(value)
-            out = [
-                (row % s.buckets, docs[np.append(some, text[hard])].tobytes(), value[some].tobytes(), name[hard].tobytes(), b"", b"")
-            ]
-            u, pair = u[~hot], pair[~hot]
-            bucket = (pair % np.uint64(s.buckets)).astype(np.int64)
-            order = np.lexsort((name[u + 1], name[u], bucket))
-            bounds = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
-            for a, b in zip(bounds, [*bounds[1:], len(order)]):
-                mine = u[order[a:b]]
-                plain = known[mine] & known[mine + 1]
-                mine = np.append(mine[plain], mine[~plain])
-                both, loose = mine[: plain.sum()], mine[plain.sum() :]
-                own, at = np.unique(text[mine], return_inverse=True)
-                key = (name[both] << _RANK) | name[both + 1]
-                out.append(
-                    (int(bucket[order[a]]), docs[own].tobytes(), _planes(at.astype(np.uint32)), _planes(key), _planes(name[loose]), _planes(name[loose + 1]))
-                )
-            columns = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]], pa.array([True] + [False] * (len(out) - 1))],
-                names=["bucket", "docs", "at", "key", "u", "v", "value"],
+        batch, row, n, words = part
+        docs = batch.column(0).slice(row, n).to_numpy(zero_copy_only=False).astype(np.int64)
+        rank, known = _lookup(s.words, words.hash)
+        name = np.where(known, rank.astype(np.uint64), words.hash | _RARE)
+        u, text = _pairs(words)
+        pair = pair_hash(words.hash[u], words.hash[u + 1])
+        # pairs of frequent count, and first words, need no pair count
+        hot_at, hot = _lookup(s.pairs, pair)
+        value = np.zeros(n)
+        np.add.at(value, text[u[hot]], s.pair_logs[hot_at[hot]] - s.word_logs[rank[u[hot]]])
+        first = words.first[:-1][np.diff(words.first) > 0]
+        easy, hard = first[known[first]], first[~known[first]]
+        np.add.at(value, text[easy], s.word_logs[rank[easy]] + s.floor)
+        some = np.flatnonzero(value)
+        out = [
+            (row % s.buckets, docs[np.append(some, text[hard])].tobytes(), value[some].tobytes(), name[hard].tobytes(), b"", b"")
+        ]
+        u, pair = u[~hot], pair[~hot]
+        bucket = (pair % np.uint64(s.buckets)).astype(np.int64)
+        order = np.lexsort((name[u + 1], name[u], bucket))
+        bounds = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
+        for a, b in zip(bounds, [*bounds[1:], len(order)]):
+            mine = u[order[a:b]]
+            plain = known[mine] & known[mine + 1]
+            mine = np.append(mine[plain], mine[~plain])
+            both, loose = mine[: plain.sum()], mine[plain.sum() :]
+            own, at = np.unique(text[mine], return_inverse=True)
+            key = (name[both] << _RANK) | name[both + 1]
+            out.append(
+                (int(bucket[order[a]]), docs[own].tobytes(), _planes(at.astype(np.uint32)), _planes(key), _planes(name[loose]), _planes(name[loose + 1]))
             )
+        columns = list(zip(*out))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]], pa.array([True] + [False] * (len(out) - 1))],
+            names=["bucket", "docs", "at", "key", "u", "v", "value"],
+        )
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a call for each slice: what it worked with is freed before the next slice is read
+        yield from map(of_slice, _slices(batches, 1))
 
     return dealt
 

@@ -13,6 +13,7 @@ from lethe.llm.frames import ship
 #: Bytes handled at once in a task.
 SLICE = 4 << 20
 _POSITIONS = 1 << 16
+_HASHED = 1 << 20
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(1, 2**63, _POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,8 +77,13 @@ def words_of(offsets: np.ndarray, data: np.ndarray, table: np.ndarray, lower: bo
     if lower:
         held = _LOWER[held]
     begin = np.cumsum(size) - size
-    place = np.arange(len(held)) - np.repeat(begin, size)
-    sums = np.add.reduceat(_BYTE[held] * _PLACE[place & (_POSITIONS - 1)], begin)
+    sums = np.empty(len(size), np.uint64)
+    # the numbers of a byte take eight times its room or more, so only some words have them at once
+    cuts = np.unique(np.append(np.searchsorted(begin, np.arange(0, len(held), _HASHED)), len(size)))
+    for a, b in zip(cuts, cuts[1:]):
+        own = slice(begin[a], begin[b] if b < len(begin) else len(held))
+        place = np.arange(own.start, own.stop) - np.repeat(begin[a:b], size[a:b])
+        sums[a:b] = np.add.reduceat(_BYTE[held[own]] * _PLACE[place & (_POSITIONS - 1)], begin[a:b] - begin[a])
     return Words(mix(sums + size.astype(np.uint64)), start, end, first)
 
 
