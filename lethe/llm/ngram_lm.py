@@ -40,7 +40,7 @@ from lethe.llm.words import mix, separators, sliced, words_of
 
 BACKOFF, LEAST = 0.4, 1
 FREQUENT, HOT = 1 << 20, 4_096
-BUCKET = 600_000
+BUCKET = 1_200_000
 _RANK = np.uint64(24)  # bits of a frequent word's number in a pair
 _RARE = np.uint64(1 << 63)
 _SLICE = 6 << 20
