@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lethe.functions.text import qualify
@@ -204,5 +204,67 @@ class Classification:
             getattr(self, name).write.mode("errorifexists").json(f"{path}/{name}")
 
 
+LISTS = {
+    "tables": TABLE,
+    "link_columns": ("source", "column"),
+    "personal_columns": ("source", "column"),
+    "candidate_keys": ("source", "column"),
+    "mask_columns": ("source", "column"),
+}
+
+
+@dataclass(frozen=True)
+class EditedLists:
+    """The lists as people left them; ``search(..., lists=...)`` follows these and no name rules."""
+
+    tables: DataFrame
+    link_columns: DataFrame
+    personal_columns: DataFrame
+    candidate_keys: DataFrame
+    mask_columns: DataFrame
+
+    def search_names(self, source: str) -> DataFrame:
+        """``(kind, name)`` as from ``search_names``."""
+        parts = [
+            self.tables.select("source", F.lit("table").alias("kind"), F.col("qualified").alias("name")),
+            self.link_columns.select("source", F.lit("link").alias("kind"), F.col("column").alias("name")),
+            self.candidate_keys.select("source", F.lit("key").alias("kind"), F.col("column").alias("name")),
+        ]
+        found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        return found.where(F.col("source") == source).select("kind", "name").distinct()
+
+
+def _listed(entries: DataFrame, known: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
+    """Each entry once; one that no metadata row has is an error when the list is computed."""
+    both = entries.select(*keys, F.lit(True).alias("__listed")).unionByName(
+        known.select(*keys, F.lit(False).alias("__listed"))
+    )
+    entry = F.concat_ws(".", *[F.coalesce(F.col(k), F.lit("null")) for k in keys])
+    unknown = F.raise_error(F.concat(F.lit(f"{name}: not in the metadata: "), entry))
+    return (
+        both.groupBy(*keys)
+        .agg(F.max("__listed").alias("__listed"), F.min("__listed").alias("__unknown"))
+        .where("__listed")
+        .select(F.when(F.col("__unknown"), unknown).otherwise(F.col(keys[0])).alias(keys[0]), *keys[1:])
+    )
+
+
+def read_classification(spark: SparkSession, path: str, columns: DataFrame) -> EditedLists:
+    """The lists of ``Classification.write`` after people have edited them.
+
+    ``columns`` is the metadata they were made from. Entries may be removed, repeated and added, but every one must
+    name a table or column of the metadata, and partition columns cannot be masked. Lines that are no JSON, missing
+    values and missing lists are errors.
+    """
+    lists = {}
+    for name, keys in LISTS.items():
+        schema = ", ".join(f"`{k}` string" for k in keys)
+        entries = spark.read.schema(schema).option("mode", "FAILFAST").json(f"{path}/{name}")
+        known = columns.where(~F.col("is_partition")) if name == "mask_columns" else columns
+        lists[name] = _listed(entries, known, keys, name)
+    lists["tables"] = lists["tables"].withColumn("qualified", _qualified())
+    return EditedLists(**lists)
+
+
 def classify(columns: DataFrame, settings: Settings = Settings()) -> Classification:
     return Classification(columns, settings)

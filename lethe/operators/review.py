@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from lethe.functions.text import date_partition
 from lethe.settings import (
     FLAG_COLUMN,
     FLAG_ERASE,
+    FLAG_KEEP,
     NO_DATA,
     NO_TIME,
     REPORT_FIRST_COLUMNS,
@@ -20,6 +21,11 @@ from lethe.settings import (
 )
 
 ROW = ("subject", "source", "table_name", "row_id")
+REPORT_KEY = ("subject", *REPORT_FIRST_COLUMNS, "row_id")
+REPORT_SCHEMA = (
+    f"subject string, `{REPORT_FIRST_COLUMNS[0]}` string, `{REPORT_FIRST_COLUMNS[1]}` string, `{FLAG_COLUMN}` string, "
+    "copies long, `partition` string, row_id string, row_json string"
+)
 _TIME = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
@@ -121,6 +127,45 @@ def apply_decisions(reported: DataFrame, decisions: DataFrame, default: str = FL
     )
 
 
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The report of ``write_report``, as it is in its files now. Lines that are no JSON are an error."""
+    return spark.read.schema(REPORT_SCHEMA).option("mode", "FAILFAST").json(path)
+
+
+def apply_edits(reported: DataFrame, edited: DataFrame) -> DataFrame:
+    """The report with the flags of its edited copy.
+
+    A row whose line was taken out is kept (``FLAG_KEEP``). Lines of rows that were never reported, flags other than
+    the two and two different flags on one row are errors when the result is computed.
+    """
+    keys = [F.col(c) if c in ("subject", "row_id") else F.col(quoted(c)) for c in REPORT_KEY]
+    flag = F.upper(F.trim(F.col(FLAG_COLUMN)))
+    both = edited.select(*keys, F.coalesce(flag, F.lit("")).alias("__flag"), F.lit(False).alias("__known")).unionByName(
+        reported.select(*keys, F.lit(None).cast("string").alias("__flag"), F.lit(True).alias("__known"))
+    )
+    row = F.coalesce(F.col("row_id"), F.lit("null"))
+    lines = both.groupBy(*REPORT_KEY).agg(
+        F.max("__known").alias("__known"), F.min("__flag").alias("__first"), F.max("__flag").alias("__last")
+    )
+    checked = (
+        F.when(~F.col("__known"), F.raise_error(F.concat(F.lit("row was not reported: "), row)))
+        .when(F.col("__first") != F.col("__last"), F.raise_error(F.concat(F.lit("conflicting decisions on row "), row)))
+        .when(~F.col("__first").isin(FLAG_ERASE, FLAG_KEEP), F.raise_error(F.concat(F.lit("no valid flag on row "), row)))
+        .otherwise(F.coalesce(F.col("__first"), F.lit(FLAG_KEEP)))
+    )
+    decisions = lines.select(
+        "subject",
+        F.col("Source").alias("source"),
+        F.col(quoted("Table Name")).alias("table_name"),
+        "row_id",
+        checked.alias(FLAG_COLUMN),
+    )
+    # every line has a decision of its own here, so what was not reported meets no row but is still looked at
+    decided = decisions.withColumnsRenamed({"source": "Source", "table_name": "Table Name", FLAG_COLUMN: "__decided"})
+    rows = reported.drop(FLAG_COLUMN).join(decided, list(REPORT_KEY), "full")
+    return rows.withColumn(FLAG_COLUMN, F.col("__decided")).select(*[quoted(c) for c in reported.columns])
+
+
 def flagged_rows(reviewed: DataFrame, source: str, flag: str = FLAG_ERASE) -> DataFrame:
     """Rows of one source with the flag."""
     return reviewed.where((F.col(FLAG_COLUMN) == flag) & (F.col("Source") == source))

@@ -101,6 +101,7 @@ def search(
     close_tables: bool = True,
     partition_columns: Collection[str] = (),
     order_columns: Mapping[str, Sequence[str]] | None = None,
+    lists: C.EditedLists | None = None,
     limits: Limits = Limits(),
 ) -> SearchResult:
     """Search the personal tables among ``tables`` for all subjects at once.
@@ -109,11 +110,13 @@ def search(
     address columns. Each next pass looks for the keys found in the pass before, in columns of
     the same name, and only in tables not yet found for that subject (``close_tables``; without
     it, until no new key turns up). ``first_match`` keeps, from pass 2 on, just the lowest pair
-    that has rows in a table. The loop ends when no table is left to probe.
+    that has rows in a table. The loop ends when no table is left to probe. ``lists`` are edited lists of tables,
+    address columns and keys, which then replace the rules by name.
     """
     spark = subjects.sparkSession
     order_columns = order_columns or {}
-    names = _names(columns.where(F.col("source") == source), settings)
+    own = columns.where(F.col("source") == source)
+    names = _names(C.search_names(own, settings) if lists is None else lists.search_names(source))
     wanted, link = names["table"], names["link"]
     key_columns = sorted((set(names["key"]) | set(link)) - settings.exclude_keys)
     probe_columns = set(key_columns) | set(link)
@@ -206,12 +209,12 @@ def search(
     )
 
 
-def _names(columns: DataFrame, settings: Settings) -> dict[str, list[str]]:
+def _names(found: DataFrame) -> dict[str, list[str]]:
     """Names of tables, address columns and keys: bounded by the catalog."""
     names: dict[str, list[str]] = {"table": [], "link": [], "key": []}
-    for row in C.search_names(columns, settings).collect():
+    for row in found.collect():
         names[row["kind"]].append(row["name"])
-    return {kind: sorted(found) for kind, found in names.items()}
+    return {kind: sorted(listed) for kind, listed in names.items()}
 
 
 def _fix_subjects(subjects: DataFrame, path: str, limits: Limits) -> tuple[DataFrame, Size]:

@@ -292,6 +292,17 @@ ORACLE: dict[str, str] = {
     "meta_csv_roundtrip": _shop(
         'SELECT source, db, "table", "column", type, is_partition FROM shop'
     ),
+    "classification_roundtrip": _shop(
+        "SELECT DISTINCT source, 'table' AS kind, qualified AS name FROM shop WHERE personal "
+        "AND regexp_matches(db, '_[13]') "
+        "UNION ALL SELECT source, 'link', \"column\" FROM shop_link_columns "
+        "UNION ALL SELECT source, 'key', \"column\" FROM shop_personal_columns WHERE contains(\"column\", 'key') "
+        "OR contains(\"column\", 'id') OR contains(\"column\", 'hash') "
+        "UNION ALL SELECT DISTINCT source, 'key', 'phone' FROM shop_personal_columns "
+        "UNION ALL (SELECT source, 'mask', \"column\" FROM shop_personal_columns "
+        "UNION SELECT source, 'mask', \"column\" FROM shop_link_columns)"
+    ),
+    "link_by_edited_lists": _search(_ROWS, everybody=True),
     "request_list": (
         "SELECT 'user' || c_custkey || '@example.com' AS subject FROM customer UNION "
         "SELECT 'o''user' || c_custkey || '@x.de' FROM customer"
@@ -422,6 +433,15 @@ ORACLE: dict[str, str] = {
         "SELECT table_name, matched_column, matched_value, count(*) AS n_hits FROM hits GROUP BY ALL",
         everybody=True,
     ),
+    "fanout_forecast": _lake(
+        "SELECT 'crm_pii.customer_pii' AS table_name, 'email' AS \"column\", email AS value, 1 AS n_rows, true AS bounded "
+        "FROM customer_pii "
+        "UNION ALL SELECT 'crm_pii.customer_pii', 'custkey', CAST(custkey AS VARCHAR), 1, true FROM customer_pii "
+        "UNION ALL SELECT 'web_pii.events_pii', 'contact_email', c.email, count(e.event_id), true "
+        "FROM customer_pii c LEFT JOIN events_pii e ON e.contact_email = c.email GROUP BY c.email "
+        "UNION ALL SELECT 'sales_pii.orders_pii', 'custkey', CAST(c.custkey AS VARCHAR), count(o.orderkey), true "
+        "FROM customer_pii c LEFT JOIN orders_pii o ON o.custkey = c.custkey GROUP BY c.custkey"
+    ),
     "row_to_json": _lake(
         "SELECT contact_email, CAST(event_id AS VARCHAR) AS event_id, "
         "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_ts, event_type, props, partition_2 "
@@ -456,6 +476,13 @@ ORACLE: dict[str, str] = {
         "ON h.row_key = CAST(o.orderkey AS VARCHAR) AND h.table_name = 'sales_pii.orders_pii'",
         everybody=True,
     ),
+    "report_roundtrip": _search(
+        "SELECT DISTINCT h.subject, h.source AS \"Source\", h.table_name AS \"Table Name\", "
+        "CASE WHEN h.table_name = 'sales_pii.orders_pii' AND o.orderstatus IN ('F', 'P') THEN 'N' ELSE 'Y' END "
+        "AS update_flag, h.row_key FROM hits h LEFT JOIN orders_pii o "
+        "ON h.row_key = CAST(o.orderkey AS VARCHAR) AND h.table_name = 'sales_pii.orders_pii'",
+        everybody=True,
+    ),
     "review_filter": _search(
         "SELECT DISTINCT h.subject, h.table_name AS \"Table Name\", h.row_key FROM hits h "
         "JOIN orders_pii o ON h.row_key = CAST(o.orderkey AS VARCHAR) "

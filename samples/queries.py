@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lethe.functions import hashing, text
 from lethe.functions.identity import partition_text
-from lethe.operators import audit, classify, erase, linkage, masking, review
+from lethe.operators import audit, classify, erase, forecast, linkage, masking, review
 from lethe.plans.rewrite import Change, Places, Run, partition_folders, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
 from lethe.plans.workflow import erase_reviewed
@@ -123,6 +123,42 @@ def meta_csv_roundtrip(spark, sf_dir):
     return catalog.read_metadata_csv(spark, path)
 
 
+@query
+def classification_roundtrip(spark, sf_dir):
+    """All lists of a large catalog, written, edited and read back.
+
+    The editor takes every other brand's tables out, adds a column to the keys and repeats a line.
+    """
+    columns = lake.shop_catalog(spark, sf_dir)
+    path, edited = new_folder(spark, "lists"), new_folder(spark, "lists")
+    classify.classify(columns, SETTINGS).write(path)
+    changes = {
+        "tables": lambda rows: rows.where(F.col("db").rlike("_[13]")),
+        "candidate_keys": lambda rows: rows.unionByName(rows.select("source", F.lit("phone").alias("column"))),
+        "mask_columns": lambda rows: rows.unionByName(rows.limit(1)),
+    }
+    for name in classify.LISTS:
+        rows = spark.read.schema("source string, db string, `table` string, `column` string").json(f"{path}/{name}")
+        changes.get(name, lambda rows: rows)(rows.select(*classify.LISTS[name])).write.json(f"{edited}/{name}")
+    lists = classify.read_classification(spark, edited, columns)
+    found = [lists.search_names(source).select(F.lit(source).alias("source"), "kind", "name") for source in (LAKE, WAREHOUSE)]
+    masked = lists.mask_columns.select("source", F.lit("mask").alias("kind"), F.col("column").alias("name"))
+    return found[0].unionByName(found[1]).unionByName(masked)
+
+
+@query
+def link_by_edited_lists(spark, sf_dir):
+    """The search follows lists from which a person removed a key that links strangers."""
+    columns = lake.columns(spark, lake.tables(spark, sf_dir))
+    path = new_folder(spark, "lists")
+    made = classify.classify(columns, SETTINGS)
+    edited = {"candidate_keys": made.candidate_keys.where("column <> 'nationkey'")}
+    for name in classify.LISTS:
+        edited.get(name, getattr(made, name)).write.json(f"{path}/{name}")
+    lists = classify.read_classification(spark, path, columns)
+    return _rows(find(spark, sf_dir, everybody=True, settings=SETTINGS, lists=lists).hits)
+
+
 @query
 def request_list(spark, sf_dir):
     """A request file with a line per customer, each naming the person's two addresses."""
@@ -377,6 +413,33 @@ def pair_fanout(spark, sf_dir):
     return linkage.pair_fanout(find(spark, sf_dir, everybody=True).hits)
 
 
+@query
+def fanout_forecast(spark, sf_dir):
+    """Rows that addresses and customer keys of everybody reach in each table, with the sketch's bound checked."""
+    tables = lake.tables(spark, sf_dir)
+    people = lake.every_customer(spark, sf_dir)
+    keys = tables[CUSTOMER].select(
+        F.col("email").alias("subject"), F.lit("custkey").alias("column"), F.col("custkey").cast("string").alias("value")
+    )
+    wanted = linkage.frontier_seed(people, ["contact_email", "email"]).unionByName(keys)
+    probes = linkage.route(wanted, _table_columns(spark, sf_dir))
+    searched = {CUSTOMER: ("custkey", "email"), EVENTS: ("contact_email",), ORDERS: ("custkey",)}
+    bounds = forecast.forecast(forecast.key_sketch(tables, searched), probes)
+    true = reduce(
+        DataFrame.unionByName,
+        [
+            tables[name].select(F.inline(linkage.key_pairs(columns))).groupBy("column", "value")
+            .agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "*")
+            for name, columns in searched.items()
+        ],
+    )
+    return bounds.join(true, ["table_name", "column", "value"], "left").select(
+        "table_name", "column", "value",
+        F.coalesce("n", F.lit(0)).alias("n_rows"),
+        (F.col("at_most") >= F.coalesce("n", F.lit(0))).alias("bounded"),
+    )
+
+
 @query
 def row_to_json(spark, sf_dir):
     rows = review.rows_as_json(lake.events_pii(spark, sf_dir))
@@ -447,6 +510,25 @@ def review_decisions(spark, sf_dir):
     )
 
 
+@query
+def report_roundtrip(spark, sf_dir):
+    """Written, edited and read back: the reviewer flags finished orders and takes pending ones out."""
+    reported = review.report(find(spark, sf_dir, everybody=True).hits)
+    path, edited = new_folder(spark, "report"), new_folder(spark, "report")
+    review.write_report(reported, path)
+    written = review.read_report(spark, path)
+    status = F.coalesce(F.get_json_object("row_json", "$.orderstatus"), F.lit(""))
+    review.write_report(
+        written.where(status != "P").withColumn(
+            "update_flag", F.when(status == "F", " n").otherwise(F.col("update_flag"))
+        ),
+        edited,
+    )
+    return review.apply_edits(written, review.read_report(spark, edited)).select(
+        "subject", "Source", "Table Name", "update_flag", row_key("Table Name")
+    )
+
+
 @query
 def review_filter(spark, sf_dir):
     reviewed = review.apply_decisions(*_decided(spark, sf_dir))
