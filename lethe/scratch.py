@@ -65,6 +65,12 @@ def _hadoop_path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(conf)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark lists files below it."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _hadoop_path(spark, path)
     return fs.exists(hadoop_path)

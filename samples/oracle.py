@@ -580,6 +580,10 @@ ORACLE: dict[str, str] = {
         "SELECT table_name, row_key, partition, kept AS masked FROM stored "
         f"WHERE {_PLACE} IN (SELECT table_name, place FROM touched)"
     ),
+    "backup_files": _stored(
+        "SELECT table_name, partition, count(*) AS n_rows, true AS same_bytes, true AS changed, true AS restored "
+        f"FROM stored WHERE {_PLACE} IN (SELECT table_name, place FROM touched) GROUP BY ALL"
+    ),
     "backup_manifest": _stored(_MANIFEST),
     "backup_purge": _stored(
         _MANIFEST + " WHERE (table_name, place) NOT IN "

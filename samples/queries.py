@@ -14,9 +14,9 @@ from lethe.operators import audit, classify, erase, forecast, linkage, masking,
 from lethe.plans.rewrite import Change, Places, Run, partition_folders, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
 from lethe.plans.workflow import erase_reviewed
-from lethe.scratch import move, new_folder
+from lethe.scratch import move, new_folder, write_table
 from lethe.settings import LAKE, WAREHOUSE, Settings
-from lethe.sources import catalog, requests
+from lethe.sources import catalog, files, requests
 from lethe.sources import tables as scans
 from lethe.sources.tables import LakeTable, in_partitions, scan_catalog_table
 from samples import lake
@@ -751,10 +751,10 @@ def _stored_lake(spark, sf_dir) -> dict[str, LakeTable]:
 
 
 def _rewritten(
-    spark, sf_dir, change: Change, subjects: DataFrame | None = None
+    spark, sf_dir, change: Change, subjects: DataFrame | None = None, stored=None, **options
 ) -> tuple[dict[str, LakeTable], Places, dict[str, DataFrame]]:
     """Search, report, review and rewrite of every table with hits; the audits by table."""
-    stored = _stored_lake(spark, sf_dir)
+    stored = stored or _stored_lake(spark, sf_dir)
     tables = {**lake.tables(spark, sf_dir), **{name: t.read(spark) for name, t in stored.items()}}
     found = search(
         tables,
@@ -766,7 +766,7 @@ def _rewritten(
     root = new_folder(spark, "erase")
     places = Places(f"{root}/backups", f"{root}/stage", f"{root}/records")
     audits = erase_reviewed(
-        spark, stored, review.report(found.hits), places, "run1", change, coverage=found.coverage()
+        spark, stored, review.report(found.hits), places, "run1", change, coverage=found.coverage(), **options
     )
     return stored, places, audits
 
@@ -828,6 +828,54 @@ def backup_snapshot(spark, sf_dir):
     return _together(_shown(Run(spark, stored[name], places, "run1", change).backup(), name) for name in audits)
 
 
+def _file_sums(spark, stored: dict[str, LakeTable]) -> DataFrame:
+    """Checksums of all files of all tables as they lie now, kept as a table."""
+    sums = _together(
+        files.checksums(files.list_files(spark, [t.path])).withColumn("table_name", F.lit(name)) for name, t in stored.items()
+    )
+    return write_table(sums, new_folder(spark, "sums"))
+
+
+@query
+def backup_files(spark, sf_dir):
+    """All tables backed up file by file, masked and restored: by partition, the rows kept in copies with the bytes of
+    the originals, whether the masking changed the files, and whether the very same files are back."""
+    stored = _stored_lake(spark, sf_dir)
+    before = _file_sums(spark, stored)
+    change = Change("mask", MASKED_ANYWHERE)
+    _, places, audits = _rewritten(spark, sf_dir, change, stored=stored, backup="files")
+    runs = {name: Run(spark, stored[name], places, "run1", change) for name in audits}
+    masked = _file_sums(spark, stored)
+    for run in runs.values():
+        run.restore()
+    after = _file_sums(spark, stored)
+    shown = []
+    for name, run in runs.items():
+        told = run.backup_files().select(F.col("source").alias("path"), "target", F.struct("length", "sha256").alias("told"))
+        own = [
+            sums.where(F.col("table_name") == name).select("path", F.struct("length", "sha256").alias(label))
+            for label, sums in (("before", before), ("masked", masked), ("after", after))
+        ]
+        joined = told.join(own[0], "path", "left").join(own[1], "path", "left").join(own[2], "path", "left")
+        address = F.col("_metadata.file_path")
+        rows = run.backup().groupBy(partition_text(STORED[name]).alias("partition"), address.alias("address")).agg(
+            F.count(F.lit(1)).alias("n_rows")
+        )
+        last = F.element_at(F.split("address", "/"), -1)
+        by_file = rows.withColumn("file", last).join(
+            joined.withColumn("file", F.element_at(F.split("target", "/"), -1)), "file", "left"
+        )
+        shown.append(
+            by_file.groupBy("partition").agg(
+                F.sum("n_rows").alias("n_rows"),
+                F.bool_and(F.coalesce(F.col("told") == F.col("before"), F.lit(False))).alias("same_bytes"),
+                F.bool_and(~F.col("told").eqNullSafe(F.col("masked"))).alias("changed"),
+                F.bool_and(F.coalesce(F.col("told") == F.col("after"), F.lit(False))).alias("restored"),
+            ).select(F.lit(name).alias("table_name"), "*")
+        )
+    return _together(shown)
+
+
 @query
 def backup_manifest(spark, sf_dir):
     _, places, _ = _rewritten(spark, sf_dir, Change("mask", MASKED_ANYWHERE))
