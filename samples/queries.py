@@ -861,10 +861,12 @@ def backup_files(spark, sf_dir):
         rows = run.backup().groupBy(partition_text(STORED[name]).alias("partition"), address.alias("address")).agg(
             F.count(F.lit(1)).alias("n_rows")
         )
-        last = F.element_at(F.split("address", "/"), -1)
-        by_file = rows.withColumn("file", last).join(
-            joined.withColumn("file", F.element_at(F.split("target", "/"), -1)), "file", "left"
-        )
+        parts = len(STORED[name]) + 1  # a file's name is unique in its partition only
+
+        def file(path: str, parts=parts) -> Column:
+            return F.array_join(F.slice(F.split(path, "/"), -parts, parts), "/")
+
+        by_file = rows.withColumn("file", file("address")).join(joined.withColumn("file", file("target")), "file", "left")
         shown.append(
             by_file.groupBy("partition").agg(
                 F.sum("n_rows").alias("n_rows"),
