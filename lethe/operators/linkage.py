@@ -18,6 +18,7 @@ from lethe.functions.identity import (
     sort_key,
 )
 from lethe.operators.lookup import Size, lookup_join
+from lethe.operators.screen import screen
 from lethe.settings import Limits
 
 PAIR = T.StructType([T.StructField("column", T.StringType()), T.StructField("value", T.StringType())])
@@ -99,17 +100,6 @@ def key_pairs(columns: Sequence[str]) -> Column:
     )
 
 
-def narrow_probes(df: DataFrame, probes: DataFrame, probe_columns: Sequence[str]) -> DataFrame:
-    """The search values that occur in a table at all, from a scan of its key columns only.
-
-    For search values too many to broadcast: most of them are usually not in the table, and
-    the rest may be few enough to spare the shuffle of its whole rows.
-    """
-    names = [F.col(quoted(c)) for c in probe_columns]
-    found = df.select(*names).select(F.inline(key_pairs(probe_columns))).distinct()
-    return probes.join(found, ["column", "value"], "left_semi").select(*PROBE_SCHEMA.fieldNames())
-
-
 def probe(
     df: DataFrame,
     name: str,
@@ -126,7 +116,8 @@ def probe(
     """All matches of one table with all search values of all subjects, in one scan.
 
     ``probes`` is ``(subject, column, value)`` of measured ``size``. With ``literals``
-    (column -> values, the same values) the scan itself skips what cannot match.
+    (column -> values, the same values) the scan itself skips what cannot match. Search values too many to
+    broadcast screen the rows by a filter of bounded size first, so that the join shuffles hardly any row without a match.
     """
     rows = df
     if literals is not None:
@@ -144,6 +135,8 @@ def probe(
     values = probes.selectExpr(
         "column AS __column", "value AS __value", "subject AS __subject"
     )
+    if not size.fits(limits):
+        rows = screen(probes, size.rows, limits).passed(rows, "__column", "__value")
     matched = lookup_join(rows, values, ["__column", "__value"], "inner", limits, size)
     if size.rows > limits.literal_pairs:
         # a few splits or one shared value can hold most matches: even them out, and write

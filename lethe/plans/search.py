@@ -162,10 +162,6 @@ def search(
         all_probes.append(probes.frame)
         def scan(t: str) -> DataFrame:
             values, size = probes.frame.where(F.col("table_name") == t), probes.sizes[t]
-            if not size.fits(limits):
-                narrowed = L.narrow_probes(opened[t], values, by_table[t])
-                values = write_table(narrowed, f"{folder}/narrowed/pass={number}/{t}")
-                size = measure(values)
             return L.probe(
                 opened[t],
                 t,

@@ -392,6 +392,7 @@ ORACLE: dict[str, str] = {
     ),
     "link_fixpoint": _search(_ROWS),
     "link_fixpoint_everybody": _search(_ROWS, everybody=True),
+    "link_fixpoint_screened": _search(_ROWS, everybody="MACHINERY"),
     "link_fixpoint_first": _search(_ROWS, harvest_first=True),
     "link_open_three_passes": _search(
         "SELECT subject, table_name, pass, count(*) AS n_hits FROM hits GROUP BY ALL",

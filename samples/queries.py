@@ -15,7 +15,7 @@ from lethe.plans.rewrite import Change, Places, Run, partition_folders, purge, r
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
 from lethe.plans.workflow import erase_reviewed
 from lethe.scratch import move, new_folder, write_table
-from lethe.settings import LAKE, WAREHOUSE, Settings
+from lethe.settings import LAKE, WAREHOUSE, Limits, Settings
 from lethe.sources import catalog, files, requests
 from lethe.sources import tables as scans
 from lethe.sources.tables import LakeTable, in_partitions, scan_catalog_table
@@ -348,6 +348,15 @@ def link_fixpoint_everybody(spark, sf_dir):
     return _rows(find(spark, sf_dir, everybody=True).hits)
 
 
+@query
+def link_fixpoint_screened(spark, sf_dir):
+    """A market segment's search with limits so low that no search values are broadcast: rows are screened, then shuffled."""
+    tables = lake.tables(spark, sf_dir)
+    low = Limits(driver_rows=0, literal_pairs=0, broadcast_rows=64, broadcast_bytes=64 * 1024)
+    subjects = lake.customers_of(spark, sf_dir, "MACHINERY")
+    return _rows(search(tables, subjects, NO_COUNTRY, columns=lake.columns(spark, tables), limits=low).hits)
+
+
 @query
 def link_fixpoint_first(spark, sf_dir):
     """Only the first row's keys are followed, by the smallest business key."""
