@@ -6,6 +6,7 @@ from lethe.operators.masking import mask, update_script
 from lethe.operators.review import apply_decisions, report
 from lethe.plans.rewrite import Change, CheckFailed, Places, Run, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
+from lethe.plans.store import SubjectStore
 from lethe.plans.workflow import erase_reviewed
 from lethe.settings import LAKE, WAREHOUSE, Limits, Settings
 from lethe.sources.catalog import catalog_columns, columns_of, warehouse_columns
@@ -28,6 +29,7 @@ __all__ = [
     "Run",
     "SearchResult",
     "Settings",
+    "SubjectStore",
     "WAREHOUSE",
     "apply_decisions",
     "catalog_columns",

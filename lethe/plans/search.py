@@ -79,6 +79,44 @@ class SearchResult:
             )
         )
 
+    def probed(self) -> DataFrame:
+        """The part of the coverage that grows with what was searched and not with people times tables.
+
+        Rows as in ``coverage`` for pairs that were probed. A table that could not be read, or with ``complete`` false any
+        table, has one more row without a subject: it holds for all people without a row of their own. All other
+        pairs are ``no_column``.
+        """
+        open_status = None if self.complete else NOT_SEARCHED
+        whole = [(t, ERROR if t in self.errors else open_status) for t in self.tables]
+        whole = [row for row in whole if row[1]]
+        failed = F.col("table_name").isin(list(self.errors)) if self.errors else F.lit(False)
+        probed = self.probes.select("subject", "table_name", F.lit(0).alias("hit"), F.lit(None).cast("int").alias("pass"))
+        found = self.hits.select("subject", "table_name", F.lit(1).alias("hit"), "pass")
+        status = (
+            F.when(failed, ERROR)
+            .when(F.col("n_hits") > 0, HIT)
+            .when(F.lit(not self.complete), NOT_SEARCHED)
+            .otherwise(NO_VALUE)
+        )
+        pairs = (
+            probed.unionByName(found)
+            .groupBy("subject", "table_name")
+            .agg(F.sum("hit").alias("n_hits"), F.min("pass").alias("found_pass"))
+        )
+        columns = ("subject", "source", "table_name", "status", "found_pass", "n_hits")
+        rows = pairs.select("*", status.alias("status"), F.lit(self.source).alias("source")).select(*columns)
+        if not whole:
+            return rows
+        tables = local_table(self.spark, whole, "table_name, status").select(
+            F.lit(None).cast("string").alias("subject"),
+            F.lit(self.source).alias("source"),
+            "table_name",
+            "status",
+            F.lit(None).cast("int").alias("found_pass"),
+            F.lit(0).cast("bigint").alias("n_hits"),
+        )
+        return rows.unionByName(tables)
+
     def open_tables(self) -> DataFrame:
         """``(subject, table_name)`` where nothing was found."""
         return self.coverage().where(F.col("status") != HIT).select(*CLOSED)

@@ -216,6 +216,18 @@ _PLACE = "(table_name, coalesce(partition, ''))"
 _MASKED_ROWS = "SELECT table_name, row_key, partition, CASE WHEN hit THEN token ELSE kept END AS masked FROM stored"
 _MANIFEST = "SELECT 'run1' AS run_id, subject, table_name, partition FROM touched"
 
+_COVERAGE = (
+    "SELECT s.subject, 'DataLake' AS source, t.table_name, "
+    "CASE WHEN count(h.subject) > 0 THEN 'hit' WHEN bool_or(p.subject IS NOT NULL) THEN 'no_value' "
+    "ELSE 'no_column' END AS status, min(h.pass) AS found_pass, count(h.subject) AS n_hits "
+    f"FROM subjects s CROSS JOIN (VALUES {TABLE_NAMES}) t(table_name) "
+    "LEFT JOIN hits h ON h.subject = s.subject AND h.table_name = t.table_name "
+    "LEFT JOIN (SELECT DISTINCT f.subject, c.table_name FROM (SELECT * FROM f1 UNION ALL "
+    "SELECT * FROM f2 UNION ALL SELECT * FROM f3 UNION ALL SELECT * FROM f4 UNION ALL "
+    "SELECT * FROM f5) f JOIN (SELECT DISTINCT table_name, col FROM cells) c ON f.col = c.col) p "
+    "ON p.subject = s.subject AND p.table_name = t.table_name GROUP BY ALL"
+)
+
 _LAKE_METADATA = {
     "crm_pii.customer_pii": ("customer_pii", "email custkey name nationkey acctbal mktsegment"),
     "web_pii.events_pii": (
@@ -408,16 +420,12 @@ ORACLE: dict[str, str] = {
         _ROWS, everybody=True, passes=2, first_match=True, source="Redshift"
     ),
     "search_hits": _search("SELECT subject, source, table_name, row_key FROM hits"),
-    "search_coverage": _search(
-        "SELECT s.subject, 'DataLake' AS source, t.table_name, "
-        "CASE WHEN count(h.subject) > 0 THEN 'hit' WHEN bool_or(p.subject IS NOT NULL) THEN 'no_value' "
-        "ELSE 'no_column' END AS status, min(h.pass) AS found_pass, count(h.subject) AS n_hits "
-        f"FROM subjects s CROSS JOIN (VALUES {TABLE_NAMES}) t(table_name) "
-        "LEFT JOIN hits h ON h.subject = s.subject AND h.table_name = t.table_name "
-        "LEFT JOIN (SELECT DISTINCT f.subject, c.table_name FROM (SELECT * FROM f1 UNION ALL "
-        "SELECT * FROM f2 UNION ALL SELECT * FROM f3 UNION ALL SELECT * FROM f4 UNION ALL "
-        "SELECT * FROM f5) f JOIN (SELECT DISTINCT table_name, col FROM cells) c ON f.col = c.col) p "
-        "ON p.subject = s.subject AND p.table_name = t.table_name GROUP BY ALL",
+    "search_coverage": _search(_COVERAGE, everybody=True),
+    "search_probed": _search(f"SELECT * FROM ({_COVERAGE}) WHERE status <> 'no_column'", everybody=True),
+    "hits_purge": _search(
+        "SELECT 'hits' AS kind, subject, table_name, row_key, 1 AS n_written, true AS few_folders FROM hits "
+        f"WHERE subject <> '{REQUESTS[0]}' UNION ALL SELECT DISTINCT 'report', subject, table_name, row_key, 1, true FROM hits "
+        f"WHERE subject <> '{REQUESTS[0]}'",
         everybody=True,
     ),
     "tables_remaining": _search(

@@ -13,8 +13,9 @@ from lethe.functions.identity import partition_text
 from lethe.operators import audit, classify, erase, forecast, linkage, masking, review
 from lethe.plans.rewrite import Change, Places, Run, partition_folders, purge, read_manifest
 from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
+from lethe.plans.store import SubjectStore
 from lethe.plans.workflow import erase_reviewed
-from lethe.scratch import move, new_folder, write_table
+from lethe.scratch import children, move, new_folder, write_table
 from lethe.settings import LAKE, WAREHOUSE, Limits, Settings
 from lethe.sources import catalog, files, requests
 from lethe.sources import tables as scans
@@ -572,6 +573,36 @@ def partitions_touched(spark, sf_dir):
     return review.partitions_touched(rows, *lake.PARTITIONS)
 
 
+@query
+def hits_purge(spark, sf_dir):
+    """Everybody's hits and reports in stores of 32 folders, after one person is purged; a purge writes one folder of each."""
+    hits = find(spark, sf_dir, everybody=True).hits
+    left = []
+    for kind, rows in (("hits", hits), ("report", review.report(hits))):
+        store = SubjectStore(spark, new_folder(spark, kind), rows.schema, 32)
+        store.append(rows)
+        written = store.purge([lake.REQUESTS[0]])
+        folders = [f for f in children(spark, store.path) if "=" in f]
+        table = "table_name" if kind == "hits" else "Table Name"
+        left.append(
+            store.read().select(
+                F.lit(kind).alias("kind"),
+                "subject",
+                F.col(f"`{table}`").alias("table_name"),
+                row_key(f"`{table}`"),
+                F.lit(written).alias("n_written"),
+                F.lit(len(folders) <= 32).alias("few_folders"),
+            )
+        )
+    return _together(left)
+
+
+@query
+def search_probed(spark, sf_dir):
+    """The coverage without the pairs that have nothing to look for."""
+    return find(spark, sf_dir, everybody=True).probed()
+
+
 # -- erase -------------------------------------------------------------------------------
 
 
