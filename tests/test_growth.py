@@ -95,3 +95,26 @@ def test_reports_of_many_people_in_few_folders(spark, tmp_path):
     back = review.read_report(spark, path)
     assert set(back.columns) == set(reported.columns)
     assert sorted(map(str, back.select(*reported.columns).collect())) == sorted(map(str, reported.collect()))
+
+
+def chain(spark):
+    """People, their orders, the orders' items and the items' makers."""
+    return {
+        "s_pii.people_pii": spark.createDataFrame([(f"p{i}@x.de", i) for i in range(4)], "email string, user_id int"),
+        "s_pii.orders_pii": spark.createDataFrame([(10 + i, i % 4) for i in range(8)], "order_key int, user_id int"),
+        "s_pii.items_pii": spark.createDataFrame([(10 + i % 8, i % 3) for i in range(24)], "order_key int, maker_key int"),
+        "s_pii.makers_pii": spark.createDataFrame([(i,) for i in range(3)], "maker_key int"),
+    }
+
+
+def test_the_only_searched_column_leads_nowhere(spark, monkeypatch):
+    def never(*args, **options):
+        raise AssertionError("closed tables were looked up")
+
+    monkeypatch.setattr(linkage, "still_open", never)
+    tables = chain(spark)
+    people = tables["s_pii.people_pii"].select(F.col("email").alias("subject"))
+    found = search(tables, people, columns=columns_of(spark, tables), limits=WRITTEN)
+    assert found.passes == 4 and found.complete
+    counts = {r["table_name"]: r["count"] for r in found.hits.groupBy("table_name").count().collect()}
+    assert counts == {"s_pii.people_pii": 4, "s_pii.orders_pii": 8, "s_pii.items_pii": 24, "s_pii.makers_pii": 12}
