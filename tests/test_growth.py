@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lethe import Limits, columns_of, search
+from lethe import Limits, SubjectStore, columns_of, search
 from lethe.operators import linkage, review
 from lethe.operators.lookup import hot_keys, lookup_join
 from lethe.scratch import children
@@ -118,3 +118,21 @@ def test_the_only_searched_column_leads_nowhere(spark, monkeypatch):
     assert found.passes == 4 and found.complete
     counts = {r["table_name"]: r["count"] for r in found.hits.groupBy("table_name").count().collect()}
     assert counts == {"s_pii.people_pii": 4, "s_pii.orders_pii": 8, "s_pii.items_pii": 24, "s_pii.makers_pii": 12}
+
+
+@pytest.mark.parametrize("first_match", [False, True])
+def test_hits_are_shuffled_into_a_store_as_they_are_kept(spark, tmp_path, first_match):
+    tables = chain(spark)
+    people = tables["s_pii.people_pii"].select(F.col("email").alias("subject"))
+    found = search(tables, people, columns=columns_of(spark, tables), limits=WRITTEN, first_match=first_match)
+    store = SubjectStore(spark, str(tmp_path / "hits"), found.hits.schema, 3)
+    store.append_hits(found)
+    assert len([f for f in children(spark, store.path) if "=" in f]) <= 3
+    assert sorted(map(str, store.read().collect())) == sorted(map(str, found.hits.collect()))
+    assert {r["subject"] for r in store.read(["p1@x.de"]).collect()} == {"p1@x.de"}
+    if not first_match:
+        assert not any({"row_json", "row_id"} & set(part.rows.columns) for part in found.parts)
+    reports = SubjectStore(spark, str(tmp_path / "report"), review.report(found.hits).schema, 3)
+    reports.append(review.report(store.read()), placed=True)
+    assert sorted(map(str, reports.read().collect())) == sorted(map(str, review.report(found.hits).collect()))
+    assert reports.purge(["p1@x.de"]) == store.purge(["p1@x.de"]) == 1
