@@ -136,3 +136,29 @@ def test_hits_are_shuffled_into_a_store_as_they_are_kept(spark, tmp_path, first_
     reports.append(review.report(store.read()), placed=True)
     assert sorted(map(str, reports.read().collect())) == sorted(map(str, review.report(found.hits).collect()))
     assert reports.purge(["p1@x.de"]) == store.purge(["p1@x.de"]) == 1
+
+
+def test_edits_shuffle_changed_rows_only(spark, tmp_path):
+    reported = review.report(reports(spark)).where("subject IS NOT NULL")
+    path, copy = str(tmp_path / "report"), str(tmp_path / "edited")
+    review.write_report(reported, path, buckets=4)
+    written = review.read_report(spark, path)
+    flag = F.when(F.col("row_id") == "r7", " n").otherwise(F.col("update_flag"))
+    review.write_report(written.where("row_id <> 'r9'").withColumn("update_flag", flag), copy, buckets=4, placed=True)
+    edited = review.read_report(spark, copy)
+    done = review.apply_edits(written, edited)
+    assert {r["row_id"] for r in done.where("update_flag = 'N'").collect()} == {"r7", "r9"}
+    unflagged = [c for c in reported.columns if c != "update_flag"]
+    assert sorted(map(str, done.select(unflagged).collect())) == sorted(map(str, reported.select(unflagged).collect()))
+    assert done.collect()  # the plan as it ran
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "BroadcastHashJoin" in plan  # lines are compared once; a filter tells the changed ones
+    # what was flagged before the edit counts for nothing
+    before = written.withColumn("update_flag", F.when(F.col("row_id") == "r3", "N").otherwise(F.col("update_flag")))
+    again = review.apply_edits(before, edited)
+    assert {r["row_id"] for r in again.where("update_flag = 'N'").collect()} == {"r7", "r9"}
+    with pytest.raises(PySparkException, match="not reported"):
+        review.apply_edits(written.limit(0), edited).collect()
+    with pytest.raises(PySparkException, match="not reported"):
+        unknown = review.apply_edits(written.where("row_id <> 'r5'"), edited)
+        review.flagged_rows(unknown, "no source").where("copies > 5 AND row_id = 'r1'").collect()
