@@ -162,3 +162,16 @@ def test_edits_shuffle_changed_rows_only(spark, tmp_path):
     with pytest.raises(PySparkException, match="not reported"):
         unknown = review.apply_edits(written.where("row_id <> 'r5'"), edited)
         review.flagged_rows(unknown, "no source").where("copies > 5 AND row_id = 'r1'").collect()
+
+
+def test_rows_without_another_key_are_not_sorted(spark):
+    hits = spark.createDataFrame(
+        [("a", "S", "t", "k", "1", [("k", "1")], "r1"), ("a", "S", "u", "k", "1", [("k", "1"), ("j", "5")], "r2"),
+         ("a", "S", "u", "k", "1", [("k", "1"), ("j", None)], "r1")],
+        "subject string, source string, table_name string, matched_column string, matched_value string, "
+        "keys array<struct<column:string,value:string>>, row_id string",
+    ).withColumn("order_key", F.lit(None).cast(linkage.SORT_KEY))
+    poison = F.when(F.col("table_name") == "t", F.raise_error(F.lit("sorted"))).otherwise(F.col("row_id"))
+    assert linkage.harvest(hits.withColumn("row_id", poison), "first").collect() == []  # the first row's other key is null
+    later = hits.withColumn("row_id", F.when(F.col("row_id") == "r1", "r3").otherwise(F.col("row_id")))
+    assert [tuple(r) for r in linkage.harvest(later, "first").collect()] == [("a", "j", "5")]
