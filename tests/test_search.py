@@ -260,6 +260,22 @@ def test_two_pass_takes_lowest_pair(spark):
     assert [(h[1], h[2], h[3], h[4]) for h in found if "b_pii" in h[1]] == [("w.b_pii", 2, "k_id", "1")]
 
 
+def test_lowest_pair_is_chosen_before_text_is_made(spark):
+    """Of subjects with one pair and with several, also where the subjects to look up are too many to broadcast."""
+    people = [("a@x.de", 1), ("a@x.de", 2), ("b@x.de", 2), ("c@x.de", 4), ("c@x.de", 3)]
+    tables = {
+        "w.a_pii": spark.createDataFrame(people, "email string, k_id int"),
+        "w.b_pii": spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (3, None), (4, "z")], "k_id int, note string"),
+    }
+    columns = columns_of(spark, tables, source="Redshift")
+    wanted = subjects(spark, "a@x.de", "b@x.de", "c@x.de")
+    for limits in (Limits(), Limits(driver_rows=0, broadcast_rows=0)):
+        result = search_two_pass(tables, wanted, columns=columns, source="Redshift", limits=limits)
+        assert all("__subject" in part.rows.columns and "row_json" not in part.rows.columns for part in result.parts)
+        found = [(h["subject"], h["matched_value"]) for h in result.hits.where("table_name = 'w.b_pii'").collect()]
+        assert sorted(found) == [("a@x.de", "1"), ("b@x.de", "2"), ("b@x.de", "2"), ("c@x.de", "3")]
+
+
 def test_discard_removes_the_files(spark, shop):
     from lethe.scratch import exists
 
