@@ -12,6 +12,7 @@ from lethe import (
     erase_reviewed, purge, read_manifest, report, search,
 )
 from lethe.functions.identity import row_id, row_json
+from lethe.operators import erase
 from lethe.plans import rewrite
 
 SCHEMA = "email string, user_id bigint, note string, y string, m string"
@@ -309,3 +310,49 @@ def test_denied_and_unsearched_tables(spark, table, place):
 
 def test_manifest_of_nothing(spark, place):
     assert rewrite.read_manifest(spark, place).isEmpty()
+
+
+def test_folders_are_named_by_file_and_not_by_row(spark, tmp_path):
+    """Several files in a partition, and values that folders spell with escapes."""
+    rows = [(k, f"{k % 3}:%a b") for k in range(60)] + [(60, None)]
+    path = str(tmp_path / "odd")
+    spark.createDataFrame(rows, "n bigint, m string").repartition(4).write.partitionBy("m").parquet(path)
+    df = LakeTable("t", path, ("m",)).read(spark)
+    held, seen = rewrite.partition_folders(df, ("m",)), []
+
+    class Watched:  # what reaches the driver comes out of rows grouped by file, with no work on names
+        sparkSession = spark
+
+        def select(self, *columns):
+            seen.append(df.select(*columns)._jdf.queryExecution().optimizedPlan().toString())
+            return df.select(*columns)
+
+    assert rewrite.partition_folders(Watched(), ("m",)) == held
+    assert seen and not any("regexp" in plan for plan in seen)
+    assert set(held) == {("0:%a b",), ("1:%a b",), ("2:%a b",), (None,)}
+    for (value,), folder in held.items():
+        inside = {r["n"] for r in spark.read.parquet(folder.removeprefix("file:")).collect()}
+        assert inside == {n for n, m in rows if m == value}
+
+
+def test_text_is_made_of_rows_with_a_flagged_rows_numbers_only(spark):
+    schema = "n bigint, k int, note string"
+    rows = [(1, 1, "one"), (1, 1, "other"), (1, None, "null"), (2, 1, "two"), (None, None, "none"), (2**62, 1, None)] * 2
+    df = spark.createDataFrame(rows, schema)
+    with_text = df.select("*", row_id(df.columns).alias("row_id"), row_json(df.columns).alias("row_json"))
+    wanted = with_text.where("note IN ('one', 'null') OR note IS NULL")
+    plain = erase.tag_flagged(df, wanted)
+    screened = erase.tag_flagged(df, wanted, numbers=["n", "k"])
+    assert sorted(map(str, screened.collect())) == sorted(map(str, plain.collect()))
+    assert screened.where(erase.is_flagged()).count() == 6 and screened.columns == plain.columns
+
+
+def test_rewrite_screens_by_numbers_unless_a_row_has_none(spark, table, place):
+    rows = flagged(spark, table, "user_id = 1")
+    run = Run(spark, table, place, "r", Change("mask", ("email",)))
+    run._back_up(rows)
+    assert run._numbers(rows) == ["user_id"]  # partition columns are not among them
+    assert "__word_0" in run._tagged()._jdf.queryExecution().analyzed().toString()
+    unread = rows.unionByName(rows.withColumn("row_json", F.lit("{broken")))
+    assert run._numbers(unread) == []
+    assert run._tagged().where(rewrite.E.is_flagged()).count() == 3
