@@ -5,8 +5,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lethe import Limits, SubjectStore, columns_of, search
-from lethe.operators import linkage, review
-from lethe.operators.lookup import hot_keys, lookup_join
+from lethe.functions.identity import row_id
+from lethe.operators import erase, linkage, review
+from lethe.operators.lookup import Size, hot_keys, lookup_join
 from lethe.scratch import children
 
 WRITTEN = Limits(driver_rows=0, broadcast_rows=0)
@@ -175,3 +176,48 @@ def test_rows_without_another_key_are_not_sorted(spark):
     assert linkage.harvest(hits.withColumn("row_id", poison), "first").collect() == []  # the first row's other key is null
     later = hits.withColumn("row_id", F.when(F.col("row_id") == "r1", "r3").otherwise(F.col("row_id")))
     assert [tuple(r) for r in linkage.harvest(later, "first").collect()] == [("a", "j", "5")]
+
+
+@pytest.mark.parametrize("dtype", ["tinyint", "bigint", "string", "double"])
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, max_hot_keys=3, salts=3)])
+def test_search_values_that_are_not_the_text_of_a_number(spark, tmp_path, dtype, limits):
+    given = ["5", "05", " 5", "+5", "5.0", "-3", "-0", "300", "99999999999999999999", "x", ""]
+    kept = {"tinyint": ["5", "-3"], "bigint": ["5", "-3", "300"], "string": given, "double": ["5.0"]}[dtype]
+    values = spark.createDataFrame([(f"s{i}", "a.key", v, "t") for i, v in enumerate(given * 2)], linkage.PROBE_SCHEMA)
+    texts = [(v,) for v in [*(given if dtype == "string" else ["5", "-3", "0", "7"]), *(["300"] if dtype == "bigint" else []), None]]
+    table = spark.createDataFrame(texts, "v string").select(F.col("v").cast(dtype).alias("a.key"), F.col("v").alias("note"))
+    table.write.parquet(str(tmp_path / "t"))
+    found = linkage.matches(spark.read.parquet(str(tmp_path / "t")), values, ["a.key"], Size(22, 2_000), limits)
+    assert found.columns == ["a.key", "note", "__subject", "__column", "__value"]
+    rows = [(r["__value"], r["__column"], int(r["__subject"][1:])) for r in found.collect()]
+    assert sorted(rows) == sorted((v, "a.key", i) for i, v in enumerate(given * 2) if v in kept)
+
+
+@pytest.mark.parametrize("dtype", ["bigint", "string"])
+def test_the_text_of_a_searched_column_is_not_shuffled(spark, tmp_path, dtype):
+    spark.range(1000).select(F.col("id").cast(dtype).alias("user_id")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    values = spark.range(100).selectExpr("concat('s', id) subject", "'user_id' column", "cast(id AS string) value", "'t' table_name")
+    found = linkage.matches(table, values, ["user_id"], Size(100, 10_000), Limits(broadcast_rows=10, literal_pairs=10))
+    joined = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert joined and "user_id" in joined[0] and "__value" not in joined[0]
+    assert found.where("__value = cast(user_id AS string) AND __subject = concat('s', __value)").count() == 100
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, max_hot_keys=3, salts=3)])
+def test_ids_are_joined_as_bytes(spark, monkeypatch, limits):
+    joined = []
+
+    def watched(big, lookup, on, *more):
+        joined.append({df.schema[on[0]].dataType.simpleString() for df in (big, lookup)})
+        return lookup_join(big, lookup, on, *more)
+
+    monkeypatch.setattr(erase, "lookup_join", watched)
+    rows = spark.range(9).select("id", F.lit("x").alias("note"))
+    given = rows.where("id < 4").select("id", row_id(rows.columns).alias("row_id"))
+    odd = F.when(F.col("id") == 1, F.upper("row_id")).when(F.col("id") == 2, F.concat("row_id", F.lit("\n")))
+    flagged = given.select(F.coalesce(odd, F.when(F.col("id") < 3, F.col("row_id"))).alias("row_id"))
+    flagged = flagged.unionByName(flagged).unionByName(spark.createDataFrame([("no id",), ("",)], "row_id string"))
+    tagged = erase.tag_flagged(rows, flagged, limits)
+    assert tagged.count() == 9 and [r["id"] for r in tagged.where(erase.is_flagged()).collect()] == [0]
+    assert joined == [{"binary"}]
