@@ -5,7 +5,7 @@ from lethe.operators.erase import erase, update_by_row_match
 from lethe.operators.masking import mask, update_script
 from lethe.operators.review import apply_decisions, report
 from lethe.plans.rewrite import Change, CheckFailed, Places, Run, purge, read_manifest
-from lethe.plans.search import SearchResult, search, search_two_pass, write_hits
+from lethe.plans.search import SearchFailed, SearchResult, search, search_two_pass, write_hits
 from lethe.plans.store import SubjectStore
 from lethe.plans.workflow import erase_reviewed
 from lethe.settings import LAKE, WAREHOUSE, Limits, Settings
@@ -27,6 +27,7 @@ __all__ = [
     "Limits",
     "Places",
     "Run",
+    "SearchFailed",
     "SearchResult",
     "Settings",
     "SubjectStore",

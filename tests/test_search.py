@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from lethe import Limits, Settings, columns_of, search, search_two_pass
 from lethe.operators import linkage
-from lethe.plans.search import ERROR, HIT, NO_COLUMN, NO_VALUE
+from lethe.plans.search import ERROR, HIT, NO_COLUMN, NO_VALUE, SearchFailed
+from samples import lake
+from samples.queries import QUERIES
+from tests.conftest import SMALL
 
 SHUFFLED = Limits(driver_rows=0, literal_pairs=0, broadcast_rows=0, max_hot_keys=3, salts=3)
 WRITTEN = Limits(driver_rows=0)
@@ -185,6 +188,32 @@ def test_unreadable_table_is_an_error_under_all_limits(spark, shop, tmp_path, li
     assert status["crm_pii.broken_pii"] == ERROR
 
 
+@pytest.mark.parametrize("limits", [Limits(), SHUFFLED])
+def test_unreadable_table_ends_a_search_for_hits_alone(spark, shop, tmp_path, limits):
+    path = str(tmp_path / "gone")
+    spark.createDataFrame([("a@x.de", 1)], "email string, custkey long").write.parquet(path)
+    broken = spark.read.parquet(path)
+    for file in (tmp_path / "gone").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    with pytest.raises(SearchFailed, match="crm_pii.broken_pii"):
+        run(spark, {**shop, "crm_pii.broken_pii": broken}, "a@x.de", limits=limits, allow_errors=False)
+    columns = columns_of(spark, {**shop, "crm_pii.broken_pii": broken})
+    with pytest.raises(SearchFailed, match="not available"):
+        search(shop, subjects(spark, "a@x.de"), columns=columns, allow_errors=False)
+
+
+@pytest.mark.parametrize("name", ["link_by_edited_lists", "link_fixpoint_everybody"])
+def test_query_fails_with_an_unreadable_table(spark, tmp_path, monkeypatch, name):
+    path = str(tmp_path / "gone")
+    lake.supplier_pii(spark, SMALL).write.parquet(path)
+    broken = spark.read.parquet(path)
+    for file in (tmp_path / "gone").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    monkeypatch.setitem(lake.VIEWS, "ref_pii.supplier_pii", lambda spark, sf_dir: broken)
+    with pytest.raises(SearchFailed, match="ref_pii.supplier_pii"):
+        QUERIES[name](spark, SMALL)
+
+
 ODD = ["${spark.app.name}", "it's", 'a"b', "back\\slash", "tick`s", "two\nlines", "%s {x}", "\\u0041"]
 
 
