@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lethe import Limits, SubjectStore, columns_of, search
-from lethe.functions.identity import row_id
+from lethe.functions.identity import row_id, with_made_ids, without_made_ids
 from lethe.operators import erase, linkage, review
 from lethe.operators.lookup import Size, hot_keys, lookup_join
 from lethe.scratch import children
@@ -165,6 +165,74 @@ def test_edits_shuffle_changed_rows_only(spark, tmp_path):
         review.flagged_rows(unknown, "no source").where("copies > 5 AND row_id = 'r1'").collect()
 
 
+ID_A, ID_B = "0a" * 32, "0A" * 32
+
+
+@pytest.mark.parametrize(
+    "own,given,wanted",
+    [
+        ("aY bY", "aY bY", "aY bY"),
+        ("aY bY", "bY aY", "aY bY"),
+        ("aY bY", "aY aY", "aY bN"),
+        ("aY bY", "aY", "aY bN"),
+        ("aN bN", "aY bN", "aY bN"),
+        ("aN bN", "aN bN", "aN bN"),
+        ("aY bY", "aY bY bN", "conflicting"),
+        ("aY aN", "aY aN", "conflicting"),
+        ("aY bx", "aY bx", "no valid flag"),
+        ("aY bY", "aY cY", "not reported"),
+        ("aY bY cY", "aY dY eY", "not reported"),
+        ("aY", "aY aY aY", "aY"),
+    ],
+)
+def test_edits_are_told_by_sums_first(spark, own, given, wanted):
+    """The lines of one person; another's stay as they are."""
+    ids = {"a": ID_A, "b": ID_B, "c": None, "d": "r", "e": ""}
+
+    def lines(text):
+        return spark.createDataFrame(
+            [(s, "DataLake", "t", x[1], 1, None, ids[x[0]], "{}") for s, ls in (("s1", text), ("s2", "aY bY cY"), (None, "dY")) for x in ls.split()],
+            review.REPORT_SCHEMA,
+        )
+
+    done = review.apply_edits(lines(own), lines(given))
+    if wanted[1] not in "YN":
+        with pytest.raises(PySparkException, match=wanted):
+            done.collect()
+        return
+    found = done.collect()
+    assert {(r["row_id"], r["update_flag"]) for r in found if r["subject"] == "s1"} == {(ids[x[0]], x[1]) for x in wanted.split()}
+    assert [r["update_flag"] for r in found if r["subject"] != "s1"] == ["Y"] * 4
+
+
+def test_unedited_lines_are_not_shuffled(spark, tmp_path):
+    reported = spark.range(4000).select(
+        F.concat(F.lit("s"), (F.col("id") % 10).cast("string")).alias("subject"), F.lit("DataLake").alias("Source"), F.lit("t").alias("Table Name"),
+        F.lit("Y").alias("update_flag"), F.lit(1).cast("bigint").alias("copies"), F.lit(None).cast("string").alias("partition"),
+        F.sha2(F.col("id").cast("string"), 256).alias("row_id"), F.col("id").cast("string").alias("row_json"),
+    )
+    path = str(tmp_path / "report")
+    review.write_report(reported, path, buckets=4)
+    written = review.read_report(spark, path)
+    flag = F.when(F.col("subject") == "s3", "N").otherwise(F.col("update_flag"))
+    review.apply_edits(written, written.withColumn("update_flag", flag)).write.parquet(str(tmp_path / "done"))
+    done = spark.read.parquet(str(tmp_path / "done"))
+    assert done.groupBy("update_flag").count().where("update_flag = 'N'").first()["count"] == 400
+    # what is compared line by line: both reports' lines of s3
+    compared = review.differing_lines(written, written.withColumn("update_flag", flag))
+    assert compared.select("subject").distinct().collect() == [("s3",)] and compared.count() == 800
+
+
+def test_made_ids_are_left_out_of_a_shuffle(spark):
+    rows = spark.createDataFrame(
+        [('{"a":1}', None), (None, None), ("", "x"), ('{"a":2}', "r"), (None, "r")], "row_json string, row_id string"
+    )
+    rows = rows.unionByName(rows.withColumn("row_id", F.sha2("row_json", 256)))
+    kept = without_made_ids(rows)
+    assert {r["row_id"] for r in kept.collect()} == {None, "x", "r"}
+    assert sorted(map(str, with_made_ids(kept).collect())) == sorted(map(str, rows.collect()))
+
+
 def test_rows_without_another_key_are_not_sorted(spark):
     hits = spark.createDataFrame(
         [("a", "S", "t", "k", "1", [("k", "1")], "r1"), ("a", "S", "u", "k", "1", [("k", "1"), ("j", "5")], "r2"),
