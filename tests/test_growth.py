@@ -61,6 +61,9 @@ def test_no_key_is_frequent(spark):
         assert lookup_join(rows, few, ["k"], "inner", limits).count() == rows.where("k in (7, 8)").count()
 
 
+DECISIONS = "subject string, source string, table_name string, row_id string, update_flag string"
+
+
 def reports(spark):
     once = [(f"s{i}", "DataLake", "t", "k", "1", f"r{i}", None, f'{{"a":{i}}}') for i in range(50)]
     twice = [("s1", "DataLake", "t", "k", v, "r1", None, '{"a":1}') for v in ("1", "2")] + [("s2", *once[3][1:])] * 3
@@ -76,6 +79,41 @@ def test_report_shuffles_repeated_rows_only(spark):
     assert "Union" in plan and "__again" not in found.columns
 
 
+@pytest.mark.parametrize("limits", [Limits(), WRITTEN])
+@pytest.mark.parametrize("doubled", [False, True])
+def test_report_of_parts_is_the_report_of_hits(spark, limits, doubled):
+    """Rows found by several pairs, in several passes and with identical copies."""
+    tables = chain(spark)
+    if doubled:
+        tables["s_pii.orders_pii"] = tables["s_pii.orders_pii"].unionByName(tables["s_pii.orders_pii"].where("order_key < 13"))
+        text = F.when(F.col("user_id") < 3, F.lit(b"\xffa").cast("string")).otherwise("x")
+        tables["s_pii.people_pii"] = tables["s_pii.people_pii"].withColumn("note", text).unionByName(
+            tables["s_pii.people_pii"].withColumn("note", F.lit(b"\xfea").cast("string"))
+        )
+    people = tables["s_pii.people_pii"].select(F.col("email").alias("subject"))
+    found = search(tables, people, columns=columns_of(spark, tables), close_tables=not doubled, max_passes=3, limits=limits)
+    whole, parts = review.report(found.hits), review.report(found.hits, found.parts)
+    assert parts.columns == whole.columns
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+    assert (parts.where("copies > 1").count() > 0) == doubled
+    made = parts.select("subject")._jdf.queryExecution().optimizedPlan().toString()
+    assert doubled or "to_json" not in made  # nobody asked for text
+
+
+def test_decisions_are_computed_once_and_for_their_tables_only(spark):
+    reported = review.report(reports(spark))
+    poison = F.when(F.col("Table Name") == "u", F.raise_error(F.lit("made"))).otherwise(F.col("row_id"))
+    more = reported.unionByName(reported.where("subject = 's3'").withColumn("Table Name", F.lit("u")).withColumn("row_id", poison))
+    calls = spark.sparkContext.accumulator(0)
+    some = spark.createDataFrame([("s1", "DataLake", "t", "r1", "N"), (None, "DataLake", None, None, "N")], DECISIONS)
+    counted = some.mapInArrow(lambda batches: (calls.add(1) or b for b in batches if b.num_rows), some.schema)
+    done = review.apply_decisions(more, counted)
+    once = calls.value
+    assert done.groupBy("update_flag").count().count() == 2 and done.where("update_flag = 'N'").count() == 1
+    assert calls.value == once
+    assert done.select("Table Name").where("`Table Name` = 'u'").count() == 1
+
+
 def test_decisions_on_some_rows(spark):
     reported = review.report(reports(spark))
     schema = "subject string, source string, table_name string, row_id string, update_flag string"
