@@ -100,6 +100,21 @@ def test_report_of_parts_is_the_report_of_hits(spark, limits, doubled):
     assert doubled or "to_json" not in made  # nobody asked for text
 
 
+@pytest.mark.parametrize("limits", [Limits(), Limits(driver_rows=0, literal_pairs=0), WRITTEN])
+def test_matched_values_are_not_written(spark, limits):
+    tables = chain(spark)
+    tables["s_pii.orders_pii"] = tables["s_pii.orders_pii"].withColumn("second_key", F.col("order_key").cast("double"))
+    tables["s_pii.notes_pii"] = spark.createDataFrame([(float(i), "x") for i in range(8, 14)], "second_key double, note string")
+    people = tables["s_pii.people_pii"].select(F.col("email").alias("subject"))
+    found = search(tables, people, columns=columns_of(spark, tables), limits=limits)
+    for part in found.parts:
+        files = part.rows.inputFiles()
+        assert files and "__value" not in spark.read.parquet(*files).columns
+    values = {(r["table_name"], r["matched_column"], r["matched_value"]) for r in found.hits.collect()}
+    assert {("s_pii.notes_pii", "second_key", f"{i}.0") for i in range(10, 14)} <= values
+    assert {("s_pii.people_pii", "email", f"p{i}@x.de") for i in range(4)} <= values and not any(v[2] is None for v in values)
+
+
 def test_decisions_are_computed_once_and_for_their_tables_only(spark):
     reported = review.report(reports(spark))
     poison = F.when(F.col("Table Name") == "u", F.raise_error(F.lit("made"))).otherwise(F.col("row_id"))
