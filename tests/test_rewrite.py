@@ -290,6 +290,37 @@ def test_whole_workflow_with_review(spark, table, place):
     assert [r["partition"] for r in again] == ["2024/10"]
 
 
+@pytest.mark.parametrize("odd", [False, True])
+def test_ids_of_texts_are_neither_kept_nor_told_apart(spark, table, place, monkeypatch, odd):
+    """Two people ask for the same rows; some ids may be no text's."""
+    asked = flagged(spark, table, "email = 'a@x.de'")
+    asked = asked.unionByName(asked.withColumn("subject", F.lit("b@x.de")))
+    if odd:
+        given = [("a@x.de", i, r["row_json"]) for i in (None, "no id", "0" * 64) for r in asked.limit(1).collect()]
+        asked = asked.unionByName(spark.createDataFrame(given, asked.schema))
+    told = []
+    tagged = erase.tag_flagged
+
+    def watched(*given):
+        told.append(given[-1])
+        return tagged(*given)
+
+    def stopped(run):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(erase, "tag_flagged", watched)
+    run = Run(spark, table, place, "r1", Change("delete"), allow_missing=True)
+    with monkeypatch.context() as broken:
+        broken.setattr(Run, "_swap", stopped)
+        with pytest.raises(OSError):
+            run.run(asked)
+    kept = {r["row_id"] for r in spark.read.parquet(run.flagged_path).collect()}
+    assert kept == ({None, "no id", "0" * 64} if odd else {None}) and told == [not odd] * 2
+    audit = Run(spark, table, place, "r1", Change("delete"), allow_missing=True).run(asked)
+    assert {r["partition"]: r["n_flagged"] for r in audit.collect()} == {"2024/02": 2, "2024/10": 1}
+    assert sorted(r[0] for r in content(spark, table)) == ["b@x.de", "c@x.de"]
+
+
 def test_denied_and_unsearched_tables(spark, table, place):
     reviewed = flagged(spark, table, "email = 'a@x.de'").select(
         "subject", F.lit("DataLake").alias("Source"), F.lit(table.name).alias("Table Name"),
